@@ -26,10 +26,11 @@ MONTH_PATTERN = "(May|MAY)"
 # Characters that carry a digit value without being decimal digits
 # (superscripts, subscripts, circled and dingbat digits, Ethiopic digits, ...).
 OTHER_DIGITS = (
-    r"²³¹፩-፱᧚⁰⁴-⁹₀-₉"
-    r"①-⑨⑴-⑼⒈-⒐⓪⓵-⓽⓿"
-    r"❶-❾➀-➈➊-➒"
-    r"\x{10a40}-\x{10a43}\x{10e60}-\x{10e68}\x{11052}-\x{1105a}\x{1f100}-\x{1f10a}"
+    r"\x{b2}-\x{b3}\x{b9}\x{1369}-\x{1371}\x{19da}\x{2070}\x{2074}-\x{2079}"
+    r"\x{2080}-\x{2089}\x{2460}-\x{2468}\x{2474}-\x{247c}\x{2488}-\x{2490}"
+    r"\x{24ea}\x{24f5}-\x{24fd}\x{24ff}\x{2776}-\x{277e}\x{2780}-\x{2788}"
+    r"\x{278a}-\x{2792}\x{10a40}-\x{10a43}\x{10e60}-\x{10e68}"
+    r"\x{11052}-\x{1105a}\x{1f100}-\x{1f10a}"
 )
 ALL_DIGITS_PATTERN = rf"^[\p{{Nd}}{OTHER_DIGITS}]+$"
 # -----------------------------------------------------------------------------

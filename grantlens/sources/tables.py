@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # A character pair no text uses, to carry genuine replacement characters past
 # the repair of broken bytes.
-_KEPT_MARK = "﷐﷑"
-_REPLACEMENT = "�"
+_KEPT_MARK = "\ufdd0\ufdd1"
+_REPLACEMENT = "\ufffd"
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
