@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from grantlens.operators.joins import BROADCAST_BYTES, lookup_join
-
 LIST_LIMIT = 100_000
 
 
@@ -15,7 +13,6 @@ def collect_ids(
     id_col: str,
     list_col: str,
     limit: int = LIST_LIMIT,
-    max_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """(group, part, list of ids); NULL ids and repeated ids are kept.
 
@@ -23,12 +20,14 @@ def collect_ids(
     by a hash of its ids into several parts that together hold all its rows, so
     no task has to hold a whole hot group.
     """
+    # Text key in which NULL is a group like any other.
+    key = F.coalesce(F.concat(F.lit("="), F.col(group_col)), F.lit("")).alias("_key")
     counted = rows.groupBy(group_col, id_col).agg(F.count(F.lit(1)).alias("_n"))
     large = (
-        counted.groupBy(group_col)
-        .agg(F.sum("_n").alias("_total"))
-        .where((F.col("_total") > limit) & F.col(group_col).isNotNull())
-        .select(group_col, F.ceil(F.col("_total") / limit).cast("int").alias("_parts"))
+        rows.groupBy(key)
+        .agg(F.count(F.lit(1)).alias("_total"))
+        .where(F.col("_total") > limit)
+        .select("_key", F.ceil(F.col("_total") / limit).cast("int").alias("_parts"))
     )
     # An id repeated more than ``limit`` times becomes several pieces of its own.
     pieces = counted.withColumn(
@@ -37,7 +36,9 @@ def collect_ids(
     ).withColumn(
         "_n", F.least(F.lit(limit).cast("long"), F.col("_n") - F.col("_start"))
     )
-    placed = lookup_join(pieces, large, group_col, "left", max_bytes).withColumn(
+    # Few groups are large; the adaptive plan broadcasts or splits this join by
+    # the sizes it meets.
+    placed = pieces.withColumn("_key", key).join(large, "_key", "left").withColumn(
         "part",
         F.coalesce(
             F.pmod(F.xxhash64(id_col, "_start"), F.col("_parts")).cast("int"), F.lit(0)

@@ -41,9 +41,16 @@ def lookup_join(
     on: str,
     how: str = "inner",
     max_bytes: int = BROADCAST_BYTES,
+    small: bool | None = None,
 ) -> DataFrame:
-    """Join ``rows`` to ``lookup`` on one column, whatever the size of the lookup."""
-    if fits_broadcast(lookup, max_bytes):
+    """Join ``rows`` to ``lookup`` on one column, whatever the size of the lookup.
+
+    The lookup is measured first, so it should be a table or a cheap plan over
+    one; pass ``small`` where a measurement already answers the question.
+    """
+    if small is None:
+        small = fits_broadcast(lookup, max_bytes)
+    if small:
         return rows.join(F.broadcast(lookup), on, how)
     return salted_join(rows, lookup, on, how)
 

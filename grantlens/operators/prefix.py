@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from grantlens.operators.joins import BROADCAST_BYTES, lookup_join
+from grantlens.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
 
 # Characters of a key that decide which lengths a value is cut to.
 ANCHOR_CHARS = 3
@@ -21,34 +21,34 @@ def prefix_join(
     key_col: str,
     value_col: str,
     max_bytes: int = BROADCAST_BYTES,
+    small: bool | None = None,
 ) -> DataFrame:
     """Pairs (key, value) where the value starts with the key, letter case ignored.
 
     Keys are taken literally (no wildcards); empty and NULL keys match nothing.
-    Both inputs count as sets.
+    Both inputs count as sets.  With keys that fit in memory (measured, or said
+    so by ``small``) the values are never shuffled for the match.
     """
     wanted = keys.select(key_col).distinct().select(
         key_col, F.lower(key_col).alias("_key")
     ).where(F.length("_key") > 0)
-    lookup = wanted.select("_key").distinct()
-    pieces = _pieces(values.select(value_col).distinct(), value_col, lookup, max_bytes)
-    matched = lookup_join(pieces, lookup, "_key", "inner", max_bytes)
+    if small is None:
+        small = fits_broadcast(wanted, max_bytes)
+    pieces = _pieces(values.select(value_col).distinct(), value_col, wanted, small)
     # Keys that differ in letter case only share their matches.
-    return lookup_join(matched, wanted, "_key", "inner", max_bytes).select(
+    return lookup_join(pieces, wanted, "_key", "inner", small=small).select(
         key_col, value_col
     )
 
 
-def _pieces(
-    values: DataFrame, value_col: str, lookup: DataFrame, max_bytes: int
-) -> DataFrame:
+def _pieces(values: DataFrame, value_col: str, wanted: DataFrame, small: bool) -> DataFrame:
     """Beginnings of each value in the lengths worth testing."""
-    lengths = lookup.groupBy(_anchor(F.col("_key")).alias("_anchor")).agg(
+    lengths = wanted.groupBy(_anchor(F.col("_key")).alias("_anchor")).agg(
         F.collect_set(F.length("_key")).alias("_lengths")
     )
     lowered = values.select(value_col, F.lower(value_col).alias("_value"))
     anchored = lowered.withColumn("_anchor", F.explode(_anchors(F.col("_value"))))
-    met = lookup_join(anchored, lengths, "_anchor", "inner", max_bytes)
+    met = lookup_join(anchored, lengths, "_anchor", "inner", small=small)
     size = F.length("_value")
     return met.select(
         value_col,

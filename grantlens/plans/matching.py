@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from grantlens.functions import names as nm
 from grantlens.operators.groups import LIST_LIMIT, collect_ids
-from grantlens.operators.joins import BROADCAST_BYTES, lookup_join
+from grantlens.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
 from grantlens.operators.prefix import prefix_join
 from grantlens.session import staged
 
@@ -140,8 +140,9 @@ def name_matches(
         .withColumn("_clean", nm.strip_suffix(F.col("name"), forms))
         .where(F.length("_clean") > 0)
     )
-    pairs = prefix_join(names, organizations, "_clean", "organization", max_bytes)
-    return lookup_join(pairs, names, "_clean", "inner", max_bytes).select(
+    small = fits_broadcast(names, max_bytes)
+    pairs = prefix_join(names, organizations, "_clean", "organization", small=small)
+    return lookup_join(pairs, names, "_clean", "inner", small=small).select(
         "name", "organization"
     )
 
@@ -151,23 +152,20 @@ def match_report(
     patents: Patents,
     forms: Sequence[str] = nm.COMPANY_FORMS,
     max_bytes: int = BROADCAST_BYTES,
-    stage: bool = False,
 ) -> DataFrame:
     """(gans, participant_name, organization, year, count), one row per grant of a
     matched name, organisation and year.
 
-    ``stage`` keeps the matched pairs in the shared folder, as two later steps
-    read them.
+    The matched pairs are kept in the shared folder, as they are measured and
+    read twice.  Grants join as rows, never as one list per name.
     """
     owners = patents.owners.select("organization").where(F.col("organization").isNotNull())
-    hits = name_matches(members, owners, forms, max_bytes)
-    if stage:
-        hits = staged(hits, "name-matches")
+    hits = staged(name_matches(members, owners, forms, max_bytes), "name-matches")
     counts = yearly_counts(patents, hits.select("organization").distinct(), max_bytes)
-    dated = lookup_join(hits, counts, "organization", "inner", max_bytes)
-    report = lookup_join(
-        members.where(F.length("name") > 0), dated, "name", "inner", max_bytes
-    )
+    # Both joins are left to the adaptive plan, which knows the sizes by then and
+    # splits the partition of a name with very many grants.
+    dated = hits.join(counts, "organization")
+    report = members.where(F.length("name") > 0).join(dated, "name")
     return report.select(
         F.col("gan").cast("int").alias("gans"),
         F.col("name").alias("participant_name"),
