@@ -1,7 +1,9 @@
 """Expressions that cut values out of captured HTML.
 
-A page is first cut into sections at marked tags; fields are then read inside
-their section.  Every pattern is linear in the length of the text it reads.
+A page is first cut into sections at marked tags, by plain text search, and
+fields are then read inside their section.  Tag and attribute names are lower
+case and attribute values stand in double quotes, as in the captured pages.
+Every pattern is linear in the length of the text it reads.
 """
 
 from __future__ import annotations
@@ -14,66 +16,81 @@ from grantlens.functions import text as tx
 _INLINE = "strong|b|em|i|a|span|p|ul|ol|table|h[1-6]"
 # Elements that stand side by side in the running content of a page.
 _BLOCKS = "p|h[1-6]|ul|ol|table|blockquote"
+# What the ids of the marked sections of a page begin with.
+_SECTION_IDS = ("project-", "collapse-")
 
 
 def attribute(name: str, value: str) -> str:
-    """Pattern of an attribute with a value, in either kind of quotes."""
-    return rf"""\s{name}\s*=\s*["']{value}["']"""
+    """Pattern of an attribute with a value."""
+    return rf'\s{name}="{value}"'
 
 
 def tag(name: str, *attributes: str) -> str:
     """Pattern of an opening tag that has all the attributes, in any order."""
+    if len(attributes) == 1:
+        return rf"<{name}\b[^>]*{attributes[0]}[^>]*>"
     looks = "".join(f"(?=[^>]*{pattern})" for pattern in attributes)
-    return rf"(?i)<{name}\b{looks}[^>]*>"
+    return rf"<{name}\b{looks}[^>]*>"
 
 
-def after(html: Column, pattern: str) -> Column:
-    """What follows the first match; NULL without a match."""
-    return F.get(F.split(html, pattern, 2), F.lit(1))
+def after(html: Column, marker: str) -> Column:
+    """What follows a marker text, up to its next place if any; '' without one."""
+    return F.split_part(html, F.lit(marker), F.lit(2))
 
 
-def before(html: Column, pattern: str) -> Column:
-    """What precedes the first match; everything without a match."""
-    return F.get(F.split(html, pattern, 2), F.lit(0))
+def before(html: Column, marker: str) -> Column:
+    """What precedes the first place of a marker text; everything without one."""
+    return F.substring_index(html, marker, 1)
 
 
-def sections(html: Column, pattern: str) -> Column:
-    """The stretches that begin after each match, up to the next one."""
-    parts = F.split(tx.or_empty(html), pattern)
-    return F.slice(parts, F.lit(2), F.size(parts) - 1)
+def after_id(html: Column, element_id: str) -> Column:
+    """What follows an id attribute, the end of its tag included; '' without one."""
+    return after(html, f' id="{element_id}"')
 
 
 def marked_section(html: Column, element_id: str) -> Column:
-    """From the tag with an id to the next division that has an id."""
-    opened = after(html, tag(r"\w+", attribute("id", element_id)))
-    return before(opened, rf"""(?i)<div\b[^>]*\sid\s*=\s*["']|</article\s*>""")
+    """From an id attribute to that of the next marked section."""
+    section = after_id(html, element_id)
+    for other in _SECTION_IDS:
+        section = before(section, f' id="{other}')
+    return section
 
 
-def cell(table: Column, row: int, column: int) -> Column:
-    """HTML of a table cell, counted from 1."""
-    row_html = F.get(F.split(table, r"(?i)<tr\b[^>]*>"), F.lit(row))
-    return before(
-        F.get(F.split(row_html, r"(?i)<td\b[^>]*>"), F.lit(column)), r"(?i)</td\s*>"
+def divisions(html: Column, css_class: str) -> Column:
+    """Content of every division of a class, up to the first that closes in it."""
+    return tx.all_matches(
+        html, "(?s)" + tag("div", attribute("class", css_class)) + "(.*?)</div>"
     )
 
 
-def first_text(html: Column, element: str, *attributes: str) -> Column:
-    """Text directly at the head of the first such element, NULL without one."""
-    return tx.decode_entities(tx.first_match(html, tag(element, *attributes) + "([^<]+)"))
+def table_rows(table: Column) -> Column:
+    """HTML of the rows of a table."""
+    return tx.all_matches(table, r"(?s)<tr\b[^>]*>(.*?)</tr>")
+
+
+def cell(rows: Column, row: int, column: int) -> Column:
+    """HTML of a table cell, counted from 1."""
+    cells = tx.all_matches(F.get(rows, F.lit(row - 1)), r"(?s)<td\b[^>]*>(.*?)</td>")
+    return F.get(cells, F.lit(column - 1))
+
+
+def head_text(html: Column, element: str, *attributes: str) -> Column:
+    """Text directly at the head of the first such element, entities unresolved;
+    '' without one."""
+    return tx.found(html, tag(element, *attributes) + "([^<]+)")
 
 
-def all_texts(html: Column, element: str, *attributes: str) -> Column:
-    found = tx.all_matches(html, tag(element, *attributes) + "([^<]+)")
-    return F.transform(found, tx.decode_entities)
+def head_texts(html: Column, element: str, *attributes: str) -> Column:
+    return tx.all_matches(html, tag(element, *attributes) + "([^<]+)")
 
 
 def text_nodes(html: Column) -> Column:
-    """Texts that stand directly in an element, without those of inner elements."""
+    """Texts that stand directly in an element, without those of inner elements;
+    entities unresolved."""
     bare = F.regexp_replace(
-        html, rf"(?is)<!--.*?-->|<({_INLINE})\b[^>]*>.*?</\1\s*>", "<>"
+        html, rf"(?s)<!--.*?-->|<({_INLINE})\b[^>]*>.*?</\1\s*>", "<>"
     )
-    nodes = F.filter(F.split(bare, "<[^>]*>"), lambda node: F.length(node) > 0)
-    return F.transform(nodes, tx.decode_entities)
+    return F.filter(F.split(bare, "<[^>]*>"), lambda node: F.length(node) > 0)
 
 
 def inner(element: Column) -> Column:
@@ -82,16 +99,16 @@ def inner(element: Column) -> Column:
 
 def blocks(html: Column) -> Column:
     """Paragraphs, headings, lists and tables side by side, in page order."""
-    return tx.all_matches(html, rf"(?is)<({_BLOCKS})\b[^>]*>.*?</\1\s*>", 0)
+    return tx.all_matches(html, rf"(?s)<({_BLOCKS})\b[^>]*>.*?</\1\s*>", 0)
 
 
 def is_list(block: Column) -> Column:
-    return block.rlike(r"(?i)^<ul\b")
+    return block.rlike(r"^<ul\b")
 
 
 def list_items(html: Column) -> Column:
     """HTML of the items of a list."""
-    return tx.all_matches(html, r"(?is)<li\b[^>]*>.*?</li\s*>", 0)
+    return tx.all_matches(html, r"(?s)<li\b[^>]*>.*?</li\s*>", 0)
 
 
 def says(html: Column, word: str) -> Column:

@@ -114,9 +114,14 @@ def url_part(url: Column, from_end: int) -> Column:
     return F.try_element_at(F.split(url, "/"), F.lit(-from_end))
 
 
+def found(text: Column, pattern: str, group: int = 1) -> Column:
+    """Group of the first match; '' when nothing matches, NULL for NULL text."""
+    return F.regexp_extract(text, pattern, group)
+
+
 def first_match(text: Column, pattern: str, group: int = 1) -> Column:
     """Group of the first match, NULL when nothing (or nothing but '') matches."""
-    return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
+    return F.nullif(found(text, pattern, group), F.lit(""))
 
 
 def all_matches(text: Column, pattern: str, group: int = 1) -> Column:
@@ -144,7 +149,7 @@ def decode_entities(text: Column) -> Column:
         ("&amp;", "&"),
     ):
         plain = F.replace(plain, F.lit(entity), F.lit(char))
-    return plain
+    return F.when(F.contains(text, F.lit("&")), plain).otherwise(text)
 
 
 def _decode_numeric(part: Column) -> Column:

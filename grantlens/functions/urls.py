@@ -37,7 +37,7 @@ def _without_dots(url: Column) -> Column:
     plain = F.regexp_replace(url, r"(?<=/)\./", "")
     for _ in range(_PARENT_STEPS):
         plain = F.regexp_replace(plain, r"(?<![:/])/[^/?#]+/\.\./", "/")
-    return plain
+    return F.when(F.contains(url, F.lit("./")), plain).otherwise(url)
 
 
 def host(url: Column) -> Column:
