@@ -272,7 +272,7 @@ def _quoted(text: str) -> str:
 
 def captured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One captured page per order: a call page for every fourth, else a project page."""
-    orders = table(spark, sf_dir, "orders").withColumns(
+    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey").withColumns(
         {
             "k": F.col("o_orderkey"),
             "gan": F.expr("o_orderkey div 2"),

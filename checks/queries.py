@@ -356,10 +356,6 @@ def page_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _captured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.spread(given.captured_pages(spark, sf_dir), "page_id")
-
-
 def _flat(df: DataFrame) -> DataFrame:
     """Arrays as text, for comparison."""
     arrays = [name for name, kind in df.dtypes if kind == "array<string>"]
@@ -367,26 +363,26 @@ def _flat(df: DataFrame) -> DataFrame:
 
 
 def project_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = pg.extract_projects(pg.project_pages(_captured(spark, sf_dir)))
+    items = pg.extract_projects(pg.project_pages(given.captured_pages(spark, sf_dir)))
     return _flat(items.drop("fundings", "participants"))
 
 
 def call_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(pg.extract_calls(pg.call_pages(_captured(spark, sf_dir))))
+    return _flat(pg.extract_calls(pg.call_pages(given.captured_pages(spark, sf_dir))))
 
 
 def funding_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pg.funding_rows(pg.extract_projects(pg.project_pages(_captured(spark, sf_dir))))
+    return pg.funding_rows(pg.extract_projects(pg.project_pages(given.captured_pages(spark, sf_dir))))
 
 
 def participant_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = pg.extract_projects(pg.project_pages(_captured(spark, sf_dir)))
+    items = pg.extract_projects(pg.project_pages(given.captured_pages(spark, sf_dir)))
     return pg.participant_rows(items).drop("raw_text")
 
 
 def _project_load(spark: SparkSession, sf_dir: str) -> page_load.ProjectLoad:
     return page_load.load_projects(
-        _captured(spark, sf_dir), given.known_projects(spark, sf_dir)
+        given.captured_pages(spark, sf_dir), given.known_projects(spark, sf_dir)
     )
 
 
@@ -411,7 +407,7 @@ def project_load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _call_load(spark: SparkSession, sf_dir: str) -> page_load.CallLoad:
-    return page_load.load_calls(_captured(spark, sf_dir), given.known_calls(spark, sf_dir))
+    return page_load.load_calls(given.captured_pages(spark, sf_dir), given.known_calls(spark, sf_dir))
 
 
 def call_load(spark: SparkSession, sf_dir: str) -> DataFrame:
