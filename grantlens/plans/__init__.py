@@ -1 +1 @@
-
+"""Jobs composed of the operators."""

@@ -1 +1 @@
-
+"""Inputs and outputs."""

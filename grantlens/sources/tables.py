@@ -33,7 +33,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 def read_text_files(spark: SparkSession, glob: str) -> DataFrame:
     """One row per file: path, whole text, length in characters.
 
-    Bytes that are not UTF-8 are left out.
+    Bytes that are not UTF-8 are left out.  Files of no bytes at all have no row:
+    Spark's file sources skip them.
     """
     files = spark.read.text(glob, wholetext=True)
     marked = F.replace("value", F.lit(_REPLACEMENT), F.lit(_KEPT_MARK))

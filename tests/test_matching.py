@@ -1,0 +1,110 @@
+import pytest
+
+from grantlens.plans import matching
+from grantlens.plans.matching import Patents
+
+
+@pytest.fixture
+def participants(spark):
+    return spark.createDataFrame(
+        [
+            (1, "Acme Ltd", "EFPIA"), (2, "Acme Ltd", "EFPIA"), (2, "Acme Ltd", "EFPIA"),
+            (None, "Acme Ltd", "EFPIA"), (3, "Univerzita X", "Academic"), (4, "King's COLLEGE", "Academic"),
+            (5, "Patient Org", "Patient organisations"), (6, "No Type", None), (7, "Ltd", "SME"),
+            (8, "50%", "SME"), (9, None, "SME"), (10, "", "SME"),
+        ],
+        "gan int, name string, type string",
+    )
+
+
+@pytest.fixture
+def projects(spark):
+    return spark.createDataFrame(
+        [(1, []), (2, ["Jane"]), (3, ["Jane", " Acme Ltd "]), (4, ["Jim", "Acme Ltd"]), (5, None)],
+        "gan int, project_leader array<string>",
+    )
+
+
+@pytest.fixture
+def patents(spark):
+    owners = spark.createDataFrame(
+        [(1, "ACME LIMITED"), (2, "acme inc"), (3, "ACME LIMITED"), (4, "Other"), (5, "Acme Empty"),
+         (6, None), (7, "50% Off")],
+        "id int, organization string",
+    )
+    links = spark.createDataFrame(
+        [(1, 10), (3, 10), (1, 11), (2, 12), (4, 10), (2, 99), (6, 10), (7, 11)],
+        "assignee_id int, patent_id int",
+    )
+    docs = spark.sql(
+        "SELECT * FROM VALUES (10, DATE'2015-03-01'), (11, DATE'2015-07-01'), (12, NULL) AS t(id, date)"
+    )
+    return Patents(owners, links, docs)
+
+
+def test_participants_exclude_by_type_and_name(participants):
+    kept = matching.participant_members(participants)
+    assert {row.name for row in kept.collect()} == {"Acme Ltd", "Ltd", "50%", ""}
+
+
+def test_groups_keep_null_and_repeated_ids(participants):
+    rows = matching.grouped_members(matching.participant_members(participants)).collect()
+    assert [row.name for row in rows] == ["", "50%", "Acme Ltd", "Ltd"]
+    assert sorted(rows[2].gans, key=str) == [1, 2, 2, None]
+
+
+def test_leaders_take_the_second_entry(projects):
+    members = matching.leader_members(projects)
+    assert {tuple(row) for row in members.collect()} == {(None, 2), ("Acme Ltd", 3), ("Acme Ltd", 4)}
+    groups = {row.name: sorted(row.gans) for row in matching.grouped_members(members).collect()}
+    assert groups == {None: [2], "Acme Ltd": [3, 4]}
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 20, 0])
+def test_yearly_counts_keep_owners_without_documents(patents, max_bytes):
+    counts = {
+        (row.organization, row.year): row["count"]
+        for row in matching.yearly_counts(patents, max_bytes=max_bytes).collect()
+    }
+    assert counts == {
+        ("ACME LIMITED", 2015): 3,
+        # One undated document, and a link to none.
+        ("acme inc", None): 1,
+        ("Other", 2015): 1,
+        ("Acme Empty", None): 0,
+        (None, 2015): 1,
+        ("50% Off", 2015): 1,
+    }
+
+
+def test_counts_are_ordered_with_missing_years_last(spark):
+    counts = spark.createDataFrame(
+        [("B", 2000, 1), ("A", None, 1), ("A", 2001, 1)], "organization string, year int, count int"
+    )
+    ordered = matching.ordered_counts(counts).collect()
+    assert [(row.organization, row.year) for row in ordered] == [("A", 2001), ("A", None), ("B", 2000)]
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 20, 0])
+def test_report(participants, patents, max_bytes):
+    report = matching.match_report(
+        matching.participant_members(participants), patents, max_bytes=max_bytes
+    )
+    assert dict(report.dtypes) == {
+        "gans": "int", "participant_name": "string", "organization": "string", "year": "int", "count": "int"
+    }
+    rows = sorted(map(tuple, report.collect()), key=str)
+    acme = [
+        (gan, "Acme Ltd", organization, year, count)
+        for gan in (1, 2, 2, None)
+        for organization, year, count in (("ACME LIMITED", 2015, 3), ("acme inc", None, 1))
+    ]
+    assert rows == sorted(acme + [(8, "50%", "50% Off", 2015, 1)], key=str)
+
+
+def test_no_match_is_an_empty_report(spark, participants, patents):
+    none = matching.participant_members(participants).where("name = 'Ltd'")
+    report = matching.match_report(none, patents)
+    assert report.count() == 0
+    both = matching.all_reports({("participants", "grants"): report, ("leaders", "grants"): report})
+    assert both.columns[:2] == ["source_type", "data_type"]
