@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from grantlens.functions import text as tx
 from grantlens.plans.matching import Patents
+from grantlens.session import staged
 from grantlens.sources.lexicon import (
     FINANCE_COLUMNS,
     INQUIRER_CATEGORIES,
@@ -270,8 +271,19 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''").replace("\n", "\\n") + "'"
 
 
+_LANDED: dict[tuple[str, str], DataFrame] = {}
+
+
 def captured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One captured page per order: a call page for every fourth, else a project page."""
+    """The captured pages as a landed table, written once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        _LANDED[key] = staged(written_pages(spark, sf_dir), "captured-pages")
+    return _LANDED[key]
+
+
+def written_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per order: a call page for every fourth, else a project page."""
     orders = spread(table(spark, sf_dir, "orders"), "o_orderkey").withColumns(
         {
             "k": F.col("o_orderkey"),

@@ -129,35 +129,50 @@ def all_matches(text: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(or_empty(text), F.lit(pattern), F.lit(group))
 
 
-def decode_entities(text: Column) -> Column:
-    """Resolve numeric references and the markup entities of text taken from HTML."""
-    parts = F.split(text, "&#")
-    tail = F.transform(
-        F.slice(parts, F.lit(2), F.greatest(F.size(parts) - 1, F.lit(0))),
-        _decode_numeric,
+def decoded(text: str) -> str:
+    """SQL that resolves entities in the text a SQL expression gives.
+
+    Handles numeric references and the entities of markup itself; other text is
+    passed through untouched.
+    """
+    parts = f"split({text}, '&#')"
+    numeric = (
+        f"CASE WHEN contains({text}, '&#') THEN concat(get({parts}, 0), array_join(transform("
+        f"slice({parts}, 2, greatest(size({parts}) - 1, 0)), part -> {_NUMERIC_REFERENCE}), '')) "
+        f"ELSE {text} END"
     )
-    plain = F.when(
-        F.contains(text, F.lit("&#")),
-        F.concat(F.get(parts, F.lit(0)), F.array_join(tail, "")),
-    ).otherwise(text)
-    for entity, char in (
-        ("&lt;", "<"),
-        ("&gt;", ">"),
-        ("&quot;", '"'),
-        ("&apos;", "'"),
-        ("&nbsp;", " "),
-        ("&amp;", "&"),
-    ):
-        plain = F.replace(plain, F.lit(entity), F.lit(char))
-    return F.when(F.contains(text, F.lit("&")), plain).otherwise(text)
-
-
-def _decode_numeric(part: Column) -> Column:
-    decimal = F.regexp_extract(part, r"^(\d{1,7});", 1)
-    hexadecimal = F.regexp_extract(part, r"^[xX]([0-9A-Fa-f]{1,6});", 1)
-    code = F.when(decimal != "", F.hex(decimal.try_cast("int"))).when(
-        hexadecimal != "", hexadecimal
-    )
-    char = F.decode(F.unhex(F.lpad(code, 8, "0")), "UTF-32")
-    rest = F.regexp_replace(part, r"^[xX]?[0-9A-Fa-f]+;", "")
-    return F.when(code.isNotNull(), F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), part))
+    named = numeric
+    for entity, char in _ENTITIES:
+        named = f"replace({named}, '{entity}', '{char}')"
+    return f"CASE WHEN contains({text}, '&') THEN {named} ELSE {text} END"
+
+
+def decode_entities(column: str) -> Column:
+    """Text column with its entities resolved; '' becomes NULL."""
+    return F.expr(decoded(f"nullif({column}, '')"))
+
+
+def decode_each(column: str) -> Column:
+    """Array column with the entities of every text resolved."""
+    return F.expr(f"transform({column}, text -> {decoded('text')})")
+
+
+# The ampersand comes last, so that what it forms is not resolved again.
+_ENTITIES = (
+    ("&lt;", "<"),
+    ("&gt;", ">"),
+    ("&quot;", '"'),
+    ("&apos;", "\\'"),
+    ("&nbsp;", "\u00a0"),
+    ("&amp;", "&"),
+)
+_DECIMAL = r"regexp_extract(part, r'^(\d{1,7});', 1)"
+_HEXADECIMAL = r"regexp_extract(part, r'^[xX]([0-9A-Fa-f]{1,6});', 1)"
+_CODE = (
+    f"CASE WHEN {_DECIMAL} <> '' THEN hex(try_cast({_DECIMAL} AS INT)) "
+    f"WHEN {_HEXADECIMAL} <> '' THEN {_HEXADECIMAL} END"
+)
+_NUMERIC_REFERENCE = (
+    f"coalesce(concat(decode(unhex(lpad({_CODE}, 8, '0')), 'UTF-32'), "
+    "regexp_replace(part, r'^[xX]?[0-9A-Fa-f]+;', '')), concat('&#', part))"
+)

@@ -89,8 +89,13 @@ def test_url_part(one):
 
 
 def test_entities(one):
-    assert one(tx.decode_entities, "a &amp;lt; &#233;&#x20AC; &#zz &lt;") == "a &lt; é€ &#zz <"
-    assert one(tx.decode_entities, None) is None
+    def decode(text):
+        return F.expr(tx.decoded("t"))
+
+    assert one(decode, "a &amp;lt; &#233;&#x20AC; &#zz &lt;&apos;&nbsp;") == "a &lt; é€ &#zz <'\u00a0"
+    assert one(decode, "plain") == "plain"
+    assert one(lambda t: tx.decode_entities("t"), "") is None
+    assert one(lambda t: tx.decode_entities("t"), None) is None
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
