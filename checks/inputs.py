@@ -6,11 +6,12 @@ both sides start from the same rows.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from grantlens.functions import text as tx
 from grantlens.plans.matching import Patents
-from grantlens.session import staged
+from grantlens.session import new_path
 from grantlens.sources.lexicon import (
     FINANCE_COLUMNS,
     INQUIRER_CATEGORIES,
@@ -253,6 +254,9 @@ CALL_PARTS = {
 PROJECT_ADDRESS = "https://www.grants.example.org/projects-results/project-factsheets/p-"
 CALL_ADDRESS = "https://www.grants.example.org/apply-funding/open-calls/c-"
 IS_CALL = "k % 4 = 0"
+# Orders whose projects and calls were loaded before.
+KNOWN_PROJECT = "o_orderpriority = '1-URGENT' AND o_orderstatus = 'F'"
+KNOWN_CALL = "o_orderpriority = '5-LOW' AND o_orderstatus = 'O'"
 
 
 def _filled(html: str, parts: dict[str, str]) -> str:
@@ -271,15 +275,20 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''").replace("\n", "\\n") + "'"
 
 
-_LANDED: dict[tuple[str, str], DataFrame] = {}
+_LANDED: dict[tuple[str, str], str] = {}
 
 
 def captured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The captured pages as a landed table, written once per session and folder."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LANDED:
-        _LANDED[key] = staged(written_pages(spark, sf_dir), "captured-pages")
-    return _LANDED[key]
+    if key in _LANDED:
+        try:
+            return spark.read.parquet(_LANDED[key])
+        except AnalysisException:
+            pass  # the shared folder was cleaned up meanwhile
+    _LANDED[key] = new_path(spark, "captured-pages")
+    written_pages(spark, sf_dir).write.parquet(_LANDED[key])
+    return spark.read.parquet(_LANDED[key])
 
 
 def written_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -308,8 +317,8 @@ def written_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def known_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        table(spark, sf_dir, "orders", "o_orderkey")
-        .where("o_orderkey % 11 = 0")
+        table(spark, sf_dir, "orders")
+        .where(KNOWN_PROJECT)
         .selectExpr("CAST(o_orderkey div 2 AS INT) AS gan")
         .distinct()
     )
@@ -317,8 +326,8 @@ def known_projects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def known_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
-        table(spark, sf_dir, "orders", "o_orderkey")
-        .where("o_orderkey % 13 = 0")
+        table(spark, sf_dir, "orders")
+        .where(KNOWN_CALL)
         .selectExpr("'CALL-' || CAST(o_orderkey div 8 AS STRING) AS call_id")
         .distinct()
     )

@@ -240,7 +240,7 @@ participant AS (
   UNION ALL SELECT k, 'Beta ' || k, 'SME', 'Austin', 'Texas', 'USA', NULL FROM p
   UNION ALL SELECT k, 'Gamma', 'SME', 'Rome', NULL, NULL, 'neither three nor four parts' FROM p WHERE k % 7 = 0
   UNION ALL SELECT k, 'Uni ' || (k % 13), 'Public Sector', 'Rome', NULL, 'Italy', NULL FROM p),
-known AS (SELECT DISTINCT CAST(o_orderkey // 2 AS INT) AS gan_no FROM orders WHERE o_orderkey % 11 = 0),
+known AS (SELECT DISTINCT CAST(o_orderkey // 2 AS INT) AS gan_no FROM orders WHERE {given.KNOWN_PROJECT}),
 checked AS (
   SELECT *, CASE WHEN k % 97 = 0 THEN 'gan is not a whole number' WHEN k % 89 = 0 THEN 'start_date is not a date'
     WHEN k % 83 = 0 THEN 'other is not a whole number' END AS reason FROM p),
@@ -263,7 +263,7 @@ items AS (
       ELSE CAST(o_orderkey % 400 AS VARCHAR) END AS proposal_submitted,
     CAST(o_orderdate AS DATE) AS call_date
   FROM orders WHERE o_orderkey % 4 = 0 AND o_orderkey % 71 <> 0),
-known AS (SELECT DISTINCT 'CALL-' || (o_orderkey // 8) AS call_id FROM orders WHERE o_orderkey % 13 = 0),
+known AS (SELECT DISTINCT 'CALL-' || (o_orderkey // 8) AS call_id FROM orders WHERE {given.KNOWN_CALL}),
 open_items AS (SELECT * FROM items WHERE call_id IS NULL OR call_id NOT IN (SELECT call_id FROM known))
 """
 TOO_LARGE = "coalesce(proposal_submitted, '') = '99999999999'"

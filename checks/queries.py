@@ -108,13 +108,18 @@ def incremental_inquirer(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def append_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Score into two tables twice: the second run adds nothing."""
+    """Tables that lack the labelled documents, then two more runs: the first adds
+    those, the second nothing."""
     docs = given.documents(spark, sf_dir)
     finance, inquirer = given.finance(spark), given.inquirer(spark)
     finance_path, inquirer_path = new_path(spark, "analysis"), new_path(spark, "sentiment")
     start = scoring.score_pending(
-        docs.where("doc_id % 3 = 0"), finance, inquirer,
-        _labelled(spark, sf_dir, "quality"), _labelled(spark, sf_dir, "toxic"), "doc_id",
+        docs,
+        finance,
+        inquirer,
+        _labelled(spark, sf_dir, "quality"),
+        _labelled(spark, sf_dir, "toxic"),
+        "doc_id",
     )
     sinks.append_table(sinks.stamped(start["finance"]), finance_path)
     sinks.append_table(sinks.stamped(start["inquirer"]), inquirer_path)

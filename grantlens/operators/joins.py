@@ -56,20 +56,22 @@ def lookup_join(
 
 
 def hot_keys(rows: DataFrame, on: str) -> DataFrame:
-    """Keys that hold at least ``HOT_SHARE`` of the rows.
+    """Keys that hold at least ``HOT_SHARE`` of the rows, as fixed rows.
 
-    One pass with a frequency sketch; the answer only steers where rows are
-    sent, never which rows are joined, so an estimate is enough.
+    One pass with a frequency sketch.  The estimate only steers where rows are
+    sent, never which rows join; it is taken once and kept as values, so that
+    both sides of a join and every repeated task see the same keys.
     """
     counted = rows.where(F.col(on).isNotNull()).agg(
         F.expr(f"approx_top_k(`{on}`, {HOT_KEYS}, {20 * HOT_KEYS})").alias("top"),
         F.count(F.lit(1)).alias("total"),
     )
-    return (
+    found = (
         counted.select(F.explode("top").alias("top"), "total")
         .where(F.col("top.count") >= F.col("total") * HOT_SHARE)
         .select(F.col("top.item").alias(on))
     )
+    return rows.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
 def salted_join(
@@ -88,16 +90,22 @@ def salted_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"rows must be kept on the left side, not {how}")
+    hot = hot_keys(rows, on)
     folded = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("_copies"))
-    joined = salted_join_folded(folded, lookup, on, how, salts)
+    joined = salted_join_folded(folded, lookup, on, how, hot, salts)
     return unfold(joined, "_copies")
 
 
 def salted_join_folded(
-    folded: DataFrame, lookup: DataFrame, on: str, how: str, salts: int = SALTS
+    folded: DataFrame,
+    lookup: DataFrame,
+    on: str,
+    how: str,
+    hot: DataFrame,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """``salted_join`` for rows that are already distinct."""
-    hot = F.broadcast(hot_keys(folded, on).withColumn("_hot", F.lit(True)))
+    """``salted_join`` for rows that are already distinct, with the hot keys given."""
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     others = [name for name in folded.columns if name != on]
     spread = F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int")
     left = folded.join(hot, on, "left").withColumn(

@@ -17,7 +17,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from grantlens.functions import text as tx
-from grantlens.operators.joins import BROADCAST_BYTES, fits_broadcast, salted_join_folded
+from grantlens.operators.joins import (
+    BROADCAST_BYTES,
+    fits_broadcast,
+    hot_keys,
+    salted_join_folded,
+)
 from grantlens.sources.lexicon import Lexicon
 
 CHAR_STATS = ("alphabetic", "digits", "numbers")
@@ -85,7 +90,9 @@ def score_documents(
         # first, then join on the word with frequent words spread out.
         counted = words.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
         identified = lexicon.withColumn("word_id", F.col("word"))
-        hits = salted_join_folded(counted, identified, "word", "left")
+        hits = salted_join_folded(
+            counted, identified, "word", "left", hot_keys(words, "word")
+        )
 
     sums = [column for lexicon in lexicons for column in _sums(lexicon)]
     totals = hits.groupBy(*keys).agg(*sums)

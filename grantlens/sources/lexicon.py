@@ -158,7 +158,8 @@ def type_inquirer(lines: DataFrame) -> DataFrame:
 
 
 def with_stop_word_flag(words: DataFrame) -> DataFrame:
-    return words.withColumn("stop_word", F.upper("word").isin(*STOP_WORDS))
+    listed = ", ".join(f"'{word}'" for word in STOP_WORDS)
+    return words.withColumn("stop_word", F.expr(f"upper(word) IN ({listed})"))
 
 
 def load_finance(spark: SparkSession, path: str) -> DataFrame:
