@@ -38,7 +38,8 @@ def char_stats(text: Column) -> dict[str, Column]:
 
 
 def merged_words(lexicons: Sequence[Lexicon]) -> DataFrame:
-    """All lexicons as one table keyed by word, one struct column per lexicon.
+    """All lexicons as one table keyed by word: what one occurrence of the word adds to
+    each count, NULL where a lexicon does not list it.
 
     Words that can never count (one letter, all digits) are left out here, once,
     instead of being tested for every token.
@@ -46,10 +47,7 @@ def merged_words(lexicons: Sequence[Lexicon]) -> DataFrame:
     tables = [
         lexicon.words.select(
             F.upper("word").alias("word"),
-            F.struct(
-                *[F.col(column).alias(name) for name, column in lexicon.flags.items()],
-                *([F.col("syllables")] if lexicon.measures else []),
-            ).alias(lexicon.name),
+            *[column.alias(f"{lexicon.name}_{name}") for name, column in _adds(lexicon).items()],
         )
         for lexicon in lexicons
     ]
@@ -57,6 +55,14 @@ def merged_words(lexicons: Sequence[Lexicon]) -> DataFrame:
     return merged.where(tx.is_countable(F.col("word")))
 
 
+def _adds(lexicon: Lexicon) -> dict[str, Column]:
+    adds = {"word_count": F.lit(1)}
+    adds |= {name: F.col(column).cast("int") for name, column in lexicon.flags.items()}
+    if lexicon.measures:
+        adds |= {"syllables": F.col("syllables"), "letters": F.length(F.upper("word"))}
+    return adds
+
+
 def score_documents(
     docs: DataFrame,
     lexicons: Sequence[Lexicon],
@@ -82,9 +88,8 @@ def score_documents(
     if fits_broadcast(lexicon, max_bytes):
         # Ids are only compared within this join, so any unique number will do.
         numbered = lexicon.withColumn("word_id", F.monotonically_increasing_id())
-        hits = words.join(F.broadcast(numbered), "word", "left").withColumn(
-            "n", F.lit(1).cast("long")
-        )
+        hits = words.join(F.broadcast(numbered), "word", "left")
+        times = None
     else:
         # A lexicon too large to send around: count each word per document
         # first, then join on the word with frequent words spread out.
@@ -93,33 +98,25 @@ def score_documents(
         hits = salted_join_folded(
             counted, identified, "word", "left", hot_keys(words, "word")
         )
+        times = F.col("n")
 
-    sums = [column for lexicon in lexicons for column in _sums(lexicon)]
+    sums = [column for lexicon in lexicons for column in _sums(lexicon, times)]
     totals = hits.groupBy(*keys).agg(*sums)
     return totals.select(
         *keys, *[_scores(lexicon).alias(lexicon.name) for lexicon in lexicons]
     )
 
 
-def _sums(lexicon: Lexicon) -> list[Column]:
-    name = lexicon.name
-    listed = F.col(name).isNotNull()
-
-    def total(value: Column, alias: str) -> Column:
-        return F.coalesce(F.sum(value), F.lit(0)).alias(f"{name}_{alias}")
-
-    columns = [total(F.when(listed, F.col("n")), "word_count")]
-    columns += [
-        total(F.when(F.col(f"{name}.{flag}"), F.col("n")), flag) for flag in lexicon.flags
-    ]
+def _sums(lexicon: Lexicon, times: Column | None) -> list[Column]:
+    """Counts of one document; ``times`` is how often a row's word occurs, if not once."""
+    columns = []
+    for name in _adds(lexicon):
+        added = F.col(f"{lexicon.name}_{name}")
+        total = F.sum(added if times is None else added * times)
+        columns.append(F.coalesce(total, F.lit(0)).alias(f"{lexicon.name}_{name}"))
     if lexicon.measures:
-        columns += [
-            total(F.col(f"{name}.syllables") * F.col("n"), "syllables"),
-            total(F.when(listed, F.length("word") * F.col("n")), "letters"),
-            F.size(F.collect_set(F.when(listed, F.col("word_id")))).alias(
-                f"{name}_vocabulary"
-            ),
-        ]
+        listed = F.when(F.col(f"{lexicon.name}_word_count").isNotNull(), F.col("word_id"))
+        columns.append(F.size(F.collect_set(listed)).alias(f"{lexicon.name}_vocabulary"))
     return columns
 
 
