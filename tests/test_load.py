@@ -59,3 +59,22 @@ def test_tables_are_replaced_and_exported(spark, tmp_path):
     assert rows(back.select("k")) == [(2,)]
     sinks.append_table(first, path)
     assert spark.read.parquet(path).count() == 2
+
+
+def test_catalog_table_is_replaced(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE results LOCATION '{tmp_path}/db'")
+    try:
+        for value in ("a", "b"):
+            sinks.replace_catalog_table(spark.createDataFrame([(value,)], "v string"), "results.t")
+        assert rows(spark.table("results.t")) == [("b",)]
+    finally:
+        spark.sql("DROP DATABASE results CASCADE")
+
+
+def test_a_hot_key_is_one_row_before_the_shuffle(spark):
+    batch = spark.range(20_000).selectExpr("CASE WHEN id % 2 = 0 THEN 0 ELSE id END AS k", "id AS at")
+    first = load.first_per_key(batch, "k", ["at"])
+    assert first.where("k = 0").first()["at"] == 0
+    assert first.count() == 10_001
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan and "Window" not in plan
