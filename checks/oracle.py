@@ -51,10 +51,10 @@ def _shares(flags) -> str:
 def _stats(text: str) -> str:
     joined = f"regexp_replace({text}, '[.,]([0-9])', '\\1', 'g')"
     return f"""
-    length(regexp_replace({text}, '[^A-Z]', '', 'g')) AS alphabetic,
-    length(regexp_replace({text}, '[^0-9]', '', 'g')) AS digits,
-    len(list_filter(regexp_extract_all({joined}, '[\\p{{L}}\\p{{N}}]+'),
-      lambda run: regexp_full_match(run, '\\p{{Nd}}+'))) AS numbers"""
+    CAST(length(regexp_replace({text}, '[^A-Z]', '', 'g')) AS INT) AS alphabetic,
+    CAST(length(regexp_replace({text}, '[^0-9]', '', 'g')) AS INT) AS digits,
+    CAST(len(list_filter(regexp_extract_all({joined}, '[\\p{{L}}\\p{{N}}]+'),
+      lambda run: regexp_full_match(run, '\\p{{Nd}}+'))) AS INT) AS numbers"""
 
 
 def _finance(
@@ -280,13 +280,13 @@ ORACLE: dict[str, str] = {
     "corpus_profile": _finance(CORPUS_LEXICON),
     "shuffled_profile": _finance(CORPUS_LEXICON),
     "char_statistics": f"SELECT doc_id, {_stats('text')} FROM documents",
-    "trailing_strip": f"SELECT doc_id, {STORED} AS text, length({STORED}) AS n_chars FROM documents",
+    "trailing_strip": f"SELECT doc_id, {STORED} AS text, CAST(length({STORED}) AS INT) AS n_chars FROM documents",
     "word_counts": f"""
 WITH {_words("coalesce(text, '')")}
 SELECT doc_id, CAST(count(word) AS INT) AS n_tokens, CAST(count(DISTINCT word) AS INT) AS n_distinct
 FROM documents LEFT JOIN words ON id = doc_id GROUP BY doc_id""",
     "pending_documents": f"""
-SELECT doc_id, length(text) AS n_chars, NOT {QUALITY} AS needs_finance, NOT {TOXIC} AS needs_inquirer
+SELECT doc_id, CAST(length(text) AS INT) AS n_chars, NOT {QUALITY} AS needs_finance, NOT {TOXIC} AS needs_inquirer
 FROM documents WHERE NOT {QUALITY} OR NOT {TOXIC}""",
     "incremental_profile": _finance(where=f"NOT {QUALITY}"),
     "incremental_inquirer": _inquirer(f"NOT {TOXIC}"),
@@ -297,7 +297,7 @@ FROM ({_finance()}) f JOIN ({_inquirer()}) i USING (doc_id)""",
         text=REPORT_TEXT,
         key="source || '/' || doc_id",
         out_key="file_name",
-        extra="length(coalesce(text, '')) AS file_size,",
+        extra="CAST(length(coalesce(text, '')) AS INT) AS file_size,",
     ),
     "text_files": """
 SELECT CAST(sum(length(text) + 1) AS BIGINT) AS n_chars,
@@ -352,8 +352,8 @@ SELECT kind, organization, year, count FROM ({_yearly(GRANTS)}), (VALUES ('csv')
 WITH cut AS (
   SELECT page_id, url, html, string_split(string_split(html, '<article>')[2], '</article>')[1] AS article FROM pages)
 SELECT page_id, {_stripped("regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)")} AS title,
-  length({_stripped('article')}) AS n_chars,
-  len(regexp_extract_all(html, '(?s)<li\b[^>]*>.*?</li\s*>')) AS n_items,
+  CAST(length({_stripped('article')}) AS INT) AS n_chars,
+  CAST(len(regexp_extract_all(html, '(?s)<li\b[^>]*>.*?</li\s*>')) AS INT) AS n_items,
   {_stripped("nullif(regexp_extract(article, '(?s)(<p>.*?</p>)', 1), '')")} AS first_paragraph,
   regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1) AS host, string_split(url, '/')[-2] AS kind
 FROM cut""",

@@ -109,7 +109,8 @@ def salted_join_folded(
     others = [name for name in folded.columns if name != on]
     spread = F.pmod(F.xxhash64(*others), F.lit(salts)).cast("int")
     left = folded.join(hot, on, "left").withColumn(
-        "_salt", F.when(F.col("_hot"), spread).otherwise(F.lit(0))
+        # Rows without a key meet nothing, so they may go anywhere as well.
+        "_salt", F.when(F.col("_hot") | F.col(on).isNull(), spread).otherwise(F.lit(0))
     )
     right = lookup.join(hot, on, "left").withColumn(
         "_salt",
