@@ -4,10 +4,10 @@ Texts are equal when their normalised forms are: every run of ASCII white space
 is one space.  The normalised text is reduced to its SHA-256 once; from then on
 only ids and digests travel.
 
-1. A frequency sketch of the Misra-Gries family names the digests that may hold
-   ``HEAVY_SHARE`` of all rows or more.  It never misses one; sketches are merged in two steps,
-   so that no task takes in a sketch of every task.
-2. Those candidates, at most ``HEAVY_KEYS``, are counted exactly.  Their smallest
+1. Frequency sketches of the Misra-Gries family name the digests that may hold
+   ``HEAVY_SHARE`` of all rows or more.  They never miss one, and there are ``MERGES`` of
+   them at most, so that no task takes in a sketch of every task.
+2. Those candidates, a fixed number at most, are counted exactly.  Their smallest
    id and their size are the verified winners; the list is broadcast and settles
    its rows where they are read, without a shuffle.
 3. All other rows are shuffled by digest.  None of their groups is large.
@@ -33,18 +33,28 @@ def normalised(text: Column) -> Column:
 
 def frequent_keys(rows: DataFrame, key: str) -> DataFrame:
     """Every value of a whole-number column that holds ``HEAVY_SHARE`` of the rows, and
-    perhaps a few that nearly do; at most ``HEAVY_KEYS``."""
-    sketch = f"approx_top_k_accumulate(`{key}`, {COUNTERS})"
-    merged = (
+    perhaps some that hold half of that; about ``2 * HEAVY_KEYS`` at most.
+
+    ``rows`` is a table: it is counted first.  Each group of scan tasks names what holds
+    half the share there.  A value with the whole share misses less than half of
+    its rows in groups where it stays unnamed, so the sum of what is named shows it.
+    """
+    half = HEAVY_SHARE / 2
+    total = rows.count()
+    named = (
         rows.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGES)).alias("part"))
-        .agg(F.expr(sketch).alias("sketch"), F.count(F.lit(1)).alias("n"))
-        .agg(F.expr(f"approx_top_k_combine(sketch, {COUNTERS})").alias("sketch"), F.sum("n").alias("n"))
-    )
-    found = merged.select(
-        F.explode(F.expr(f"approx_top_k_estimate(sketch, {HEAVY_KEYS})")).alias("top"), "n"
+        .agg(
+            F.expr(f"approx_top_k(`{key}`, {2 * HEAVY_KEYS}, {COUNTERS})").alias("top"),
+            F.count(F.lit(1)).alias("n"),
+        )
+        .select(F.explode("top").alias("top"), "n")
+        .where(F.col("top.count") >= F.col("n") * half)
     )
-    return found.where(F.col("top.count") >= F.col("n") * HEAVY_SHARE).select(
-        F.col("top.item").alias(key)
+    return (
+        named.groupBy(F.col("top.item").alias(key))
+        .agg(F.sum("top.count").alias("rows"))
+        .where(F.col("rows") >= total * half)
+        .select(key)
     )
 
 
