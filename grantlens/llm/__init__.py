@@ -1 +1,11 @@
-"""Operators for training-data pipelines over tables of documents."""
+"""Operators for training-data pipelines over tables of documents.
+
+Functions of this package that run in Python workers travel by value, so that
+executors need no copy of it.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
