@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import sys
+
 
 class Lazy:
-    """A value that each worker builds when it first needs it, and that never travels."""
+    """A value that a worker process builds when it first needs it and then keeps.
 
-    def __init__(self, build):
-        self.build = build
-        self.built = []
+    It never travels: only the way to build it does.
+    """
 
-    def __call__(self):
-        if not self.built:
-            self.built.append(self.build())
-        return self.built[0]
+    def __init__(self, build, *args):
+        self.build, self.args = build, args
 
-    def __reduce__(self):
-        return Lazy, (self.build,)
+    def __call__(self):
+        # Functions that travel by value are new in every task; the main module stays.
+        kept = vars(sys.modules["__main__"]).setdefault("_grantlens_kept", {})
+        key = (self.build.__module__, self.build.__qualname__, *self.args)
+        if key not in kept:
+            kept[key] = self.build(*self.args)
+        return kept[key]
