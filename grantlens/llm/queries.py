@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from grantlens.llm import binary_pack, exact, pii, quality
+from grantlens.llm import binary_pack, exact, near, pii, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans_of(_table(spark, sf_dir, "documents"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.mark_copies(_table(spark, sf_dir, "documents"))
 
@@ -29,6 +33,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_pii": op1_pii,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
