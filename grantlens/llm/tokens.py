@@ -20,55 +20,70 @@ from grantlens.llm.workers import Lazy
 KEPT_WORDS = 600_000
 KEPT_LENGTH = 48
 
+# Four control characters that str.split takes for white space and the tokenizer does not.
 _CONTROLS = re.compile("[\x1c-\x1f]").search
 _ASCII_WORDS = re.compile("[^ \t\n\r\x0b\x0c]+").findall
+# A stop or comma beside another sign, with which it may form one piece.
+_SIGNS_TOGETHER = re.compile(r"[.,](?:(?=[^\w\s]|_)|(?<=[^\w\s][.,])|(?<=_[.,]))").search
+
+
+def _byte_letters() -> dict[int, int]:
+    """Letter of each byte in the vocabulary: its own if it can be seen, else one from U+0100 on."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [byte for byte in range(256) if byte not in seen]
+    return {byte: byte for byte in seen} | {byte: 0x100 + i for i, byte in enumerate(hidden)}
 
 
 class WordEncoder:
-    """Encoder for a vocabulary file of the ``tokenizers`` library that drops white space."""
+    """Encoder for a byte-level vocabulary file of the ``tokenizers`` library that lowers case and drops white space."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.letters = _byte_letters()
         self.kept: dict[str, bytes] = {}
 
     def _encode(self, words: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [array("I", encoding.ids).tobytes() for encoding in found]
 
-    def _learn(self, words: list[str]) -> None:
-        """Keep the ids of words.
-
-        A stop or comma after letters is a piece of its own, and letters up to U+00FF
-        have one lower case each: such words are put together from fewer ones.
+    def _learn(self, words: list[str], plain: bool) -> None:
+        """Keep the ids of words.  Plain words of letters only are one piece: they need the merges alone."""
+        kept, others = self.kept, words
+        if plain:
+            others, letters, merged = [], self.letters, self.model.tokenize
+            for word in words:
+                if word.isalpha():
+                    shown = word if word.isascii() else word.encode().decode("latin-1").translate(letters)
+                    kept[word] = array("I", [token.id for token in merged(shown)]).tobytes()
+                else:
+                    others.append(word)
+        kept.update(zip(others, self._encode(others)))
+
+    def _words(self, text: str) -> tuple[list[str], bool]:
+        """Stretches of a text whose ids in a row are its ids, and whether they are plain.
+
+        In a plain text letters go up to U+00FF, so each has one lower case and is in normal
+        form, and stops and commas are pieces of their own: then there are
+        fewer different words.
         """
-        kept, parts, wanted = self.kept, [], set()
-        for word in words:
-            core = word[:-1] if word[-1] in ".," else word
-            if core.isalpha() and max(core) <= "\xff":
-                end, core = word[len(core) :], core.lower()
-                parts.append((word, core, end))
-            else:
-                core = word
-            if core not in kept:
-                wanted.add(core)
-        wanted.update({".", ","}.difference(kept))
-        wanted = list(wanted)
-        kept.update(zip(wanted, self._encode(wanted)))
-        for word, core, end in parts:
-            kept[word] = kept[core] + kept[end] if end else kept[core]
+        if _CONTROLS(text):
+            return _ASCII_WORDS(text), False
+        if len(text.encode("latin-1", "ignore")) < len(text) or "<|" in text or _SIGNS_TOGETHER(text):
+            return text.split(), False
+        return text.lower().replace(",", " , ").replace(".", " . ").split(), True
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of a text as unsigned 32-bit numbers."""
-        # str.split takes four control characters for white space, which the tokenizer does not.
-        words = _ASCII_WORDS(text) if _CONTROLS(text) else text.split()
+        words, plain = self._words(text)
         kept, distinct = self.kept, set(words)
         new = [word for word in distinct.difference(kept) if len(word) <= KEPT_LENGTH]
-        if len(kept) + 3 * len(new) > KEPT_WORDS:
+        if len(kept) + len(new) > KEPT_WORDS:
             kept.clear()
             new = [word for word in distinct if len(word) <= KEPT_LENGTH]
         if new:
-            self._learn(new)
-        long = list(distinct.difference(kept))
+            self._learn(new, plain)
+        long = [word for word in distinct if len(word) > KEPT_LENGTH]
         ids_of = ChainMap(dict(zip(long, self._encode(long))), kept) if long else kept
         return np.frombuffer(b"".join(map(ids_of.__getitem__, words)), np.uint32)
 
