@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from grantlens.llm.select import without
 from grantlens.session import staged
 
 HEAVY_SHARE = 0.002
@@ -106,4 +107,4 @@ def mark_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
 def drop_copies(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns; ids must be unique."""
     gone = mark_copies(docs, id, text).where(~F.col("kept")).select(F.col("doc_id").alias(id))
-    return docs.join(gone, id, "left_anti").select(*docs.columns)
+    return without(docs, gone, id)

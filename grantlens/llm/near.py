@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from grantlens.llm.components import connected
+from grantlens.llm.select import without
 from grantlens.operators.joins import fits_broadcast
 from grantlens.session import staged
 
@@ -454,4 +455,4 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
 def keep_first(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns; ids must be unique."""
     gone = near_duplicates(docs, id, text).where(~F.col("kept")).select(F.col("doc_id").alias(id))
-    return docs.join(gone, id, "left_anti").select(*docs.columns)
+    return without(docs, gone, id)

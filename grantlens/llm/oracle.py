@@ -10,5 +10,31 @@ WITH digests AS (
 )
 SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
 FROM digests JOIN groups USING (text_sha256)
+""",
+    "op7_line_dedup": r"""
+WITH split AS (
+    SELECT doc_id, coalesce(source, '') AS site, coalesce(text, '') AS text,
+        unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+        generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+    FROM documents
+), lines AS (
+    SELECT *, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS trimmed FROM split
+), counted AS (
+    SELECT *, CASE WHEN trimmed = '' THEN 0 ELSE len(string_split(trimmed, ' ')) END AS n_words FROM lines
+), shared AS (
+    SELECT trimmed FROM counted WHERE n_words >= 4 GROUP BY 1 HAVING count(DISTINCT site) >= 8
+), marked AS (
+    SELECT counted.*, shared.trimmed IS NOT NULL AS found
+    FROM counted LEFT JOIN shared USING (trimmed)
+), per_doc AS (
+    SELECT doc_id, any_value(text) AS text, count(*) AS n_lines,
+        count(*) FILTER (found) AS n_found,
+        coalesce(sum(n_words) FILTER (found), 0) * 100 <= 50 * sum(n_words) AS goes,
+        coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT found), '') AS rest
+    FROM marked GROUP BY doc_id
+)
+SELECT doc_id, n_lines, CASE WHEN goes THEN n_found ELSE 0 END AS n_removed,
+    sha256(CASE WHEN goes THEN rest ELSE text END) AS text_sha256
+FROM per_doc
 """,
 }

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from grantlens.llm.select import without
 from grantlens.operators.joins import lookup_join
 from grantlens.session import staged
 
@@ -285,5 +286,5 @@ def judge(
 
 def keep_good(docs: DataFrame, labels: DataFrame, id: str = "doc_id") -> DataFrame:
     """The documents that pass, with all their columns."""
-    gone = judge(docs, labels, id).where(~F.col("kept")).select(F.col("doc_id").alias(id)).distinct()
-    return docs.join(gone, id, "left_anti").select(*docs.columns)
+    gone = judge(docs, labels, id).where(~F.col("kept")).select(F.col("doc_id").alias(id))
+    return without(docs, gone, id)

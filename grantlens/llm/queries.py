@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from grantlens.llm import binary_pack, exact, near, pii, quality
+from grantlens.llm import binary_pack, exact, lines, near, pii, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +23,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.mark_copies(_table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_digests(lines.clean_lines(_table(spark, sf_dir, "documents")))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_pack.piece_digests(binary_pack.pack(_table(spark, sf_dir, "documents")))
 
@@ -35,6 +39,7 @@ QUERIES = {
     "op1_pii": op1_pii,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_line_dedup": op7_line_dedup,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
 }
