@@ -36,5 +36,39 @@ WITH split AS (
 SELECT doc_id, n_lines, CASE WHEN goes THEN n_found ELSE 0 END AS n_removed,
     sha256(CASE WHEN goes THEN rest ELSE text END) AS text_sha256
 FROM per_doc
+""",
+    "op4_preference_format": r"""
+WITH turns AS (
+    SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, turn,
+        coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations
+), firsts AS (
+    SELECT pair_id, min(turn) AS first FROM (
+        SELECT pair_id, turn FROM turns GROUP BY pair_id, turn
+        HAVING count(*) < 2 OR min(role) <> max(role) OR min(text) <> max(text)
+    ) GROUP BY pair_id
+), rendered AS (
+    SELECT pair_id, side, turn, role, first,
+        '<|im_start|>' || role || chr(10) || text || '<|im_end|>' || chr(10) AS piece,
+        first IS NULL OR turn < first AS common
+    FROM turns LEFT JOIN firsts USING (pair_id)
+), placed AS (
+    SELECT *, coalesce(sum(length(piece)) OVER (
+        PARTITION BY pair_id, side, common ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING
+    ), 0)::BIGINT AS place
+    FROM rendered
+), masked AS (
+    SELECT *, CASE WHEN role = 'assistant' AND NOT common
+        THEN (place + length('<|im_start|>' || role) + 1) || ':' || (place + length(piece)) END AS mask
+    FROM placed
+)
+SELECT pair_id,
+    count(*) FILTER (common AND side = 0) AS n_common,
+    sha256(coalesce(string_agg(piece, '' ORDER BY turn) FILTER (common AND side = 0), '')) AS prompt_sha256,
+    sha256(coalesce(string_agg(piece, '' ORDER BY turn) FILTER (NOT common AND side = 0), '')) AS chosen_sha256,
+    sha256(coalesce(string_agg(piece, '' ORDER BY turn) FILTER (NOT common AND side = 1), '')) AS rejected_sha256,
+    coalesce(string_agg(mask, ',' ORDER BY turn) FILTER (side = 0), '') AS chosen_mask,
+    coalesce(string_agg(mask, ',' ORDER BY turn) FILTER (side = 1), '') AS rejected_mask
+FROM masked GROUP BY pair_id
 """,
 }

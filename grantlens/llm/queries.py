@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from grantlens.llm import binary_pack, exact, lines, near, pii, quality
+from grantlens.llm import best_fit, binary_pack, exact, licences, lines, near, pieces, pii, preference, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,29 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks with a checksum of their ids, and of the text that these decode to."""
+    encoded = pieces.encode(_table(spark, sf_dir, "documents"))
+    decoded = encoded.transform(pieces.decode_beside)
+    return decoded.select(
+        "doc_id",
+        "chunk",
+        "n_chunks",
+        (F.octet_length("ids") / 4).cast("long").alias("n_ids"),
+        F.crc32("ids").alias("ids_crc32"),
+        F.sha2("text", 256).alias("text_sha256"),
+    )
+
+
+def op4_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = preference.neighbours(_table(spark, sf_dir, "conversations"))
+    return preference.pair_digests(preference.preference_pairs(turns))
+
+
+def op5_token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.row_digests(best_fit.pack_rows(_table(spark, sf_dir, "documents")))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.mark_copies(_table(spark, sf_dir, "documents"))
 
@@ -27,6 +50,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_digests(lines.clean_lines(_table(spark, sf_dir, "documents")))
 
 
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(_table(spark, sf_dir, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return binary_pack.piece_digests(binary_pack.pack(_table(spark, sf_dir, "documents")))
 
@@ -38,8 +65,12 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_sentencepiece": op3_sentencepiece,
+    "op4_preference_format": op4_preference_format,
+    "op5_token_rows": op5_token_rows,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_line_dedup": op7_line_dedup,
+    "op8_licence_scan": op8_licence_scan,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
 }
