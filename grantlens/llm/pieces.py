@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 from sentencepiece import SentencePieceProcessor
 
 from grantlens.llm.workers import Lazy
@@ -356,7 +356,8 @@ def decode_beside(encoded: DataFrame, words: Lazy | None = None) -> DataFrame:
                 [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"]
             )
 
-    return encoded.mapInArrow(spell, encoded.schema.add("text", "string"))
+    text = T.StructField("text", T.StringType())
+    return encoded.mapInArrow(spell, T.StructType([*encoded.schema.fields, text]))
 
 
 def decode(encoded: DataFrame, words: Lazy | None = None) -> DataFrame:
