@@ -59,6 +59,9 @@ class Vocabulary:
         self.scores = {piece: model.get_score(i) for piece, i in self.ids.items()}
         self.unknown = min(self.scores.values()) - UNKNOWN_COST
         self.longest = max(map(len, self.ids))
+        # Every beginning of a piece, so that a search ends where no piece goes on.
+        beginnings = {piece[:n] for piece in self.ids for n in range(1, len(piece))}
+        self.grown = dict.fromkeys(beginnings, -np.inf) | self.scores
         self.inside = {a + b for piece in self.ids for a, b in zip(piece, piece[1:])}
         self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
         # Words begin with their spaces if no piece has a space after something else.
@@ -74,19 +77,23 @@ class Vocabulary:
 
         Pieces begin before ``end``; they may reach beyond it, into the rest of ``text``.
         """
-        far, scores, longest = len(text), self.scores, self.longest
-        best, back = [-np.inf] * (far + 1), [0] * (far + 1)
+        far, grown, never = len(text), self.grown, -np.inf
+        best, back = [never] * (far + 1), [0] * (far + 1)
         best[start] = 0.0
         for i in range(start, end):
             here = best[i]
-            if here == -np.inf:
+            if here == never:
                 continue
-            for j in range(i + 1, min(i + longest, far) + 1):
-                score = scores.get(text[i:j])
+            score = grown.get(text[i])
+            step = here + (self.unknown if score is None or score == never else score)
+            if step > best[i + 1]:
+                best[i + 1], back[i + 1] = step, i
+            if score is None:
+                continue
+            for j in range(i + 2, far + 1):
+                score = grown.get(text[i:j])
                 if score is None:
-                    if j > i + 1:
-                        continue
-                    score = self.unknown
+                    break
                 if here + score > best[j]:
                     best[j], back[j] = here + score, i
         return best, back
