@@ -78,58 +78,71 @@ def boilerplate(rows: DataFrame, sites: int = SITES) -> DataFrame:
     return sketched.where(sure).select("line").unionByName(exact.select("line"))
 
 
-def clean_lines(
-    docs: DataFrame,
-    id: str = "doc_id",
-    text: str = "text",
-    site: str = "source",
-    sites: int = SITES,
-) -> DataFrame:
-    """``docs`` with boilerplate lines taken out of ``text``, and ``_n_lines``, ``_n_removed``.
-
-    NULL text stays NULL, and an empty one has one line, which stays.  A NULL site
-    is a site of its own.  Documents of which more than half the words are boilerplate, and documents with
-    a NULL id, are left as they are.  Rows that repeat an id must repeat its text.  An empty table
-    gives an empty result.
-    """
+def _cleaned(docs: DataFrame, id: str, text: str, site: str, sites: int) -> DataFrame:
+    """(row, text, n_lines, n_removed): rows of ``docs`` whole, and their text without boilerplate."""
     rows = staged(line_rows(docs.where(F.col(id).isNotNull()), id, text, site), "lines")
     shared = staged(boilerplate(rows, sites), "boilerplate")
     # Positions of one document: never more than it has lines.
     found = staged(
         lookup_join(rows.select("line", "doc_id", "pos", "n_words"), shared, "line", "left_semi")
         .groupBy("doc_id")
-        .agg(F.collect_set("pos").alias("_found"))
-        .withColumnRenamed("doc_id", id),
+        .agg(F.collect_set("pos").alias("found"), F.sum("n_words").alias("found_words")),
         "found-lines",
     )
-    joined = docs.join(F.broadcast(found) if fits_broadcast(found) else found, id, "left")
-    lines = _split(F.col(text))
+    # The columns of the table are kept apart, so that none can clash with those made here.
+    whole = docs.select(
+        F.col(id).alias("doc_id"), F.col(text).alias("text"), F.struct(*docs.columns).alias("row")
+    )
+    joined = whole.join(F.broadcast(found) if fits_broadcast(found) else found, "doc_id", "left")
+    lines = joined.select(
+        "row", "text", "found", "found_words", _split(F.col("text")).alias("lines")
+    )
+    all_words = F.aggregate(
+        "lines", F.lit(0).cast("long"), lambda n, line: n + _words(_trimmed(line)).cast("long")
+    )
+    goes = F.col("found").isNotNull() & (100 * F.col("found_words") <= MOST_PERCENT * all_words)
     # array_except works by hashing, so a text of very many lines takes time in proportion to them.
-    all_words = F.aggregate(lines, F.lit(0), lambda n, line: n + _words(_trimmed(line)).cast("int"))
-    found_words = F.aggregate(
-        "_found", F.lit(0), lambda n, pos: n + _words(_trimmed(F.get("_lines", pos))).cast("int")
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("found"))
+    cleaned = F.array_join(F.transform(left, lambda pos: F.get("lines", pos)), "\n")
+    return lines.withColumn("goes", goes).select(
+        "row",
+        F.when(F.col("goes"), cleaned).otherwise(F.col("text")).alias("text"),
+        F.size("lines").cast("long").alias("n_lines"),
+        F.when(F.col("goes"), F.size("found")).otherwise(0).cast("long").alias("n_removed"),
     )
-    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_found"))
-    with_lines = joined.withColumn("_lines", F.when(F.col("_found").isNotNull(), lines))
-    goes = F.col("_found").isNotNull() & (100 * found_words <= MOST_PERCENT * all_words)
-    cleaned = F.array_join(F.transform(left, lambda pos: F.get("_lines", pos)), "\n")
-    return with_lines.withColumn("_goes", goes).select(
+
+
+def clean_lines(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    site: str = "source",
+    sites: int = SITES,
+) -> DataFrame:
+    """``docs`` with boilerplate lines taken out of ``text``; all columns.
+
+    NULL text stays NULL, and an empty one has one line, which stays.  A NULL site counts as the empty
+    one.  Documents of which more than half the words are boilerplate, and documents with
+    a NULL id, are left as they are.  A line that a text repeats goes each time.  Rows that repeat an
+    id should repeat its text; otherwise what is found in any of them decides by position.  An
+    empty table gives an empty result.
+    """
+    cleaned = _cleaned(docs, id, text, site, sites)
+    return cleaned.select(
         *[
-            F.when(F.col("_goes"), cleaned).otherwise(F.col(text)).alias(text)
-            if name == text
-            else F.col(name)
+            F.col("text").alias(name) if name == text else F.col("row")[name].alias(name)
             for name in docs.columns
-        ],
-        F.size(lines).cast("long").alias("_n_lines"),
-        F.when(F.col("_goes"), F.size("_found")).otherwise(0).cast("long").alias("_n_removed"),
+        ]
     )
 
 
-def line_digests(cleaned: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_lines, n_removed, text_sha256 of what ``clean_lines`` returns."""
-    return cleaned.select(
-        F.col(id).alias("doc_id"),
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_removed").alias("n_removed"),
-        F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("text_sha256"),
-    )
+def line_report(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    site: str = "source",
+    sites: int = SITES,
+) -> DataFrame:
+    """doc_id, n_lines, n_removed and text of every row, by the rules of ``clean_lines``."""
+    cleaned = _cleaned(docs, id, text, site, sites)
+    return cleaned.select(F.col("row")[id].alias("doc_id"), "n_lines", "n_removed", "text")

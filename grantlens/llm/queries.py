@@ -47,7 +47,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.line_digests(lines.clean_lines(_table(spark, sf_dir, "documents")))
+    """Every document's lines, and a digest of what is left of its text."""
+    report = lines.line_report(_table(spark, sf_dir, "documents"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256)
+    return report.select("doc_id", "n_lines", "n_removed", digest.alias("text_sha256"))
 
 
 def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
