@@ -21,7 +21,7 @@ from grantlens.sources.lexicon import (
     type_finance,
     type_inquirer,
 )
-from grantlens.sources.tables import read_table, spread
+from grantlens.sources.tables import read_table
 
 # Words that are frequent in the documents, four languages, plus two that never
 # count (one letter, digits) and one in lower case.
@@ -77,7 +77,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id")
+    return table(spark, sf_dir, "documents", "doc_id", "text")
 
 
 # ---- a lexicon made of the words of the documents -----------------------------
@@ -293,7 +293,7 @@ def captured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def written_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One page per order: a call page for every fourth, else a project page."""
-    orders = spread(table(spark, sf_dir, "orders"), "o_orderkey").withColumns(
+    orders = table(spark, sf_dir, "orders").withColumns(
         {
             "k": F.col("o_orderkey"),
             "gan": F.expr("o_orderkey div 2"),

@@ -154,7 +154,7 @@ doc AS (SELECT o_orderkey AS id, o_orderdate AS d FROM orders)
 def _groups(members: str) -> str:
     return f"""
 WITH {members}
-SELECT name, 0 AS part, string_agg(CAST(gan AS VARCHAR), ',' ORDER BY gan) AS gans FROM members GROUP BY name
+SELECT name, gan, count(*) AS copies FROM members GROUP BY name, gan
 """
 
 
@@ -407,7 +407,9 @@ FROM open_items WHERE NOT {TOO_LARGE}
 QUALIFY call_id IS NULL OR row_number() OVER (PARTITION BY call_id ORDER BY k) = 1""",
     "call_load_rejects": f"""
 WITH {CALLS}
-SELECT k AS page_id, 'proposal_submitted is too large' AS reason FROM open_items WHERE {TOO_LARGE}""",
+SELECT k AS page_id, 'proposal_submitted is too large' AS reason FROM open_items AS refused WHERE {TOO_LARGE} AND NOT EXISTS (
+  SELECT 1 FROM open_items AS earlier
+  WHERE earlier.call_id = refused.call_id AND earlier.k < refused.k AND NOT {TOO_LARGE})""",
     "load_if_absent": """
 SELECT event_id, user_id, event_type, value FROM events
 WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND value > 100)

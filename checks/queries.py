@@ -136,11 +136,8 @@ def append_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def file_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = given.table(spark, sf_dir, "documents", "doc_id", "text", "source")
-    files = tables.spread(
-        docs.select(
-            F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), "text"
-        ),
-        "path",
+    files = docs.select(
+        F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("path"), "text"
     )
     return scoring.file_report(files, given.finance(spark))
 
@@ -227,23 +224,12 @@ def _leader_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.leader_members(given.projects(spark, sf_dir))
 
 
-def _listed(groups: DataFrame) -> DataFrame:
-    """Lists as text in id order, NULL first, so that their order cannot matter."""
-    texts = F.transform(
-        F.array_sort(
-            F.transform("gans", lambda gan: F.coalesce(gan.cast("long"), F.lit(-1)))
-        ),
-        lambda gan: gan.cast("string"),
-    )
-    return groups.select("name", "part", F.array_join(texts, ",").alias("gans"))
-
-
 def participant_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _listed(matching.grouped_members(_participant_members(spark, sf_dir)))
+    return matching.grouped_members(_participant_members(spark, sf_dir))
 
 
 def leader_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _listed(matching.grouped_members(_leader_members(spark, sf_dir)))
+    return matching.grouped_members(_leader_members(spark, sf_dir))
 
 
 def clean_names(spark: SparkSession, sf_dir: str) -> DataFrame:

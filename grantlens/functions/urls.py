@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
-# How many "../" steps a relative address may hold.
-_PARENT_STEPS = 8
 
 
 def absolute_url(base: Column, href: Column) -> Column:
@@ -18,26 +16,48 @@ def absolute_url(base: Column, href: Column) -> Column:
     site = F.regexp_extract(base, r"^([^:/?#]+://[^/?#]*)", 1)
     page = F.regexp_extract(base, r"^([^?#]*)", 1)
     without_fragment = F.regexp_extract(base, r"^([^#]*)", 1)
-    folder = F.when(
-        F.length(page) > F.length(site), F.regexp_extract(page, r"^(.*/)", 1)
-    ).otherwise(F.concat(site, F.lit("/")))
-    joined = (
+    path = F.regexp_extract(href, r"^([^?#]*)", 1)
+    rest = F.substring(href, F.length(path) + 1, F.length(href))
+    above = F.split(F.substring(page, F.length(site) + 1, F.length(page)), "/", -1)
+    folder = F.when(F.element_at(above, -1) == "", above).otherwise(
+        F.slice(above, F.lit(1), F.size(above) - 1)
+    )
+    own = F.split(path, "/", -1)
+    segments = F.when(F.startswith(href, F.lit("/")), own).otherwise(F.concat(folder, own))
+    return (
         F.when(href.rlike(_SCHEME), href)
         .when(F.startswith(href, F.lit("//")), F.concat(scheme, F.lit(":"), href))
-        .when(F.startswith(href, F.lit("/")), F.concat(site, href))
+        .when(href == "", base)
         .when(F.startswith(href, F.lit("?")), F.concat(page, href))
         .when(F.startswith(href, F.lit("#")), F.concat(without_fragment, href))
-        .when(href == "", without_fragment)
-        .otherwise(_without_dots(F.concat(folder, href)))
+        .otherwise(F.concat(site, _folded(segments), rest))
     )
-    return joined
 
 
-def _without_dots(url: Column) -> Column:
-    plain = F.regexp_replace(url, r"(?<=/)\./", "")
-    for _ in range(_PARENT_STEPS):
-        plain = F.regexp_replace(plain, r"(?<![:/])/[^/?#]+/\.\./", "/")
-    return F.when(F.contains(url, F.lit("./")), plain).otherwise(url)
+def _folded(segments: Column) -> Column:
+    """Path of segments with steps up and stays taken, and empty ones inside left out."""
+
+    def fold(given):
+        last = F.element_at(given, -1)
+        inside = F.filter(F.slice(given, F.lit(2), F.greatest(F.size(given) - 2, F.lit(0))), lambda s: s != "")
+        kept = F.when(F.size(given) > 1, F.concat(F.array(given[0]), inside, F.array(last))).otherwise(given)
+
+        def step(path, segment):
+            up = F.slice(path, F.lit(1), F.greatest(F.size(path) - 1, F.lit(0)))
+            return (
+                F.when(segment == "..", up)
+                .when(segment == ".", path)
+                .otherwise(F.concat(path, F.array(segment)))
+            )
+
+        walked = F.aggregate(kept, F.array().cast("array<string>"), step)
+        joined = F.array_join(
+            F.when(last.isin(".", ".."), F.concat(walked, F.array(F.lit("")))).otherwise(walked), "/"
+        )
+        return F.when(F.startswith(joined, F.lit("/")), joined).otherwise(F.concat(F.lit("/"), joined))
+
+    # The segments are named once, however often they are used.
+    return F.transform(F.array(segments), fold)[0]
 
 
 def host(url: Column) -> Column:

@@ -1,52 +1,14 @@
-"""Lists of ids per name, in pieces of bounded length."""
+"""Ids per name, as rows."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-LIST_LIMIT = 100_000
 
+def group_ids(rows: DataFrame, group_col: str, id_col: str) -> DataFrame:
+    """(group, id, copies): every id of every group, and how often it comes.
 
-def collect_ids(
-    rows: DataFrame,
-    group_col: str,
-    id_col: str,
-    list_col: str,
-    limit: int = LIST_LIMIT,
-) -> DataFrame:
-    """(group, part, list of ids); NULL ids and repeated ids are kept.
-
-    A group of up to ``limit`` rows is one list, part 0.  A larger group is split
-    by a hash of its ids into several parts that together hold all its rows, so
-    no task has to hold a whole hot group.
+    One shape at every size: a group is as many rows as it has ids, so no task holds
+    a whole group.  NULL is a group like any other, and an id like any other.
     """
-    # Text key in which NULL is a group like any other.
-    key = F.coalesce(F.concat(F.lit("="), F.col(group_col)), F.lit("")).alias("_key")
-    counted = rows.groupBy(group_col, id_col).agg(F.count(F.lit(1)).alias("_n"))
-    large = (
-        rows.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_total"))
-        .where(F.col("_total") > limit)
-        .select("_key", F.ceil(F.col("_total") / limit).cast("int").alias("_parts"))
-    )
-    # An id repeated more than ``limit`` times becomes several pieces of its own.
-    pieces = counted.withColumn(
-        "_start",
-        F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(limit).cast("long"))),
-    ).withColumn(
-        "_n", F.least(F.lit(limit).cast("long"), F.col("_n") - F.col("_start"))
-    )
-    # Few groups are large; the adaptive plan broadcasts or splits this join by
-    # the sizes it meets.
-    placed = pieces.withColumn("_key", key).join(large, "_key", "left").withColumn(
-        "part",
-        F.coalesce(
-            F.pmod(F.xxhash64(id_col, "_start"), F.col("_parts")).cast("int"), F.lit(0)
-        ),
-    )
-    repeated = F.array_repeat(F.struct(id_col), F.col("_n").cast("int"))
-    return (
-        placed.groupBy(group_col, "part")
-        .agg(F.flatten(F.collect_list(repeated)).alias("_rows"))
-        .select(group_col, "part", F.col("_rows").getField(id_col).alias(list_col))
-    )
+    return rows.groupBy(group_col, id_col).agg(F.count(F.lit(1)).alias("copies"))

@@ -23,6 +23,7 @@ from grantlens.operators.joins import (
     hot_keys,
     salted_join_folded,
 )
+from grantlens.session import staged
 from grantlens.sources.lexicon import Lexicon
 
 CHAR_STATS = ("alphabetic", "digits", "numbers")
@@ -39,18 +40,19 @@ def char_stats(text: Column) -> dict[str, Column]:
 
 def merged_words(lexicons: Sequence[Lexicon]) -> DataFrame:
     """All lexicons as one table keyed by word: what one occurrence of the word adds to
-    each count, NULL where a lexicon does not list it.
+    each count, NULL where a lexicon does not list it.  Words that differ in case only
+    are one word; of their rows the one with the largest values counts.
 
     Words that can never count (one letter, all digits) are left out here, once,
     instead of being tested for every token.
     """
-    tables = [
-        lexicon.words.select(
-            F.upper("word").alias("word"),
-            *[column.alias(f"{lexicon.name}_{name}") for name, column in _adds(lexicon).items()],
+    tables = []
+    for lexicon in lexicons:
+        adds = [column.alias(f"{lexicon.name}_{name}") for name, column in _adds(lexicon).items()]
+        one = lexicon.words.groupBy(F.upper("word").alias("word")).agg(
+            F.max(F.struct(*adds)).alias("_adds")
         )
-        for lexicon in lexicons
-    ]
+        tables.append(one.select("word", "_adds.*"))
     merged = reduce(lambda left, right: left.join(right, "word", "full"), tables)
     return merged.where(tx.is_countable(F.col("word")))
 
@@ -84,7 +86,8 @@ def score_documents(
         *keys, F.explode_outer(tx.tokens(F.col(text_col))).alias("word")
     ).withColumn("word", F.upper("word"))
 
-    lexicon = merged_words(lexicons)
+    # Written once: it is measured, then joined.
+    lexicon = staged(merged_words(lexicons), "merged-words")
     if fits_broadcast(lexicon, max_bytes):
         # Ids are only compared within this join, so any unique number will do.
         numbered = lexicon.withColumn("word_id", F.monotonically_increasing_id())
@@ -92,12 +95,10 @@ def score_documents(
         times = None
     else:
         # A lexicon too large to send around: count each word per document
-        # first, then join on the word with frequent words spread out.
+        # first, then join on the word with frequent words spread out.  A row is then
+        # one word of a document, and its vocabulary a plain count.
         counted = words.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
-        identified = lexicon.withColumn("word_id", F.col("word"))
-        hits = salted_join_folded(
-            counted, identified, "word", "left", hot_keys(words, "word")
-        )
+        hits = salted_join_folded(counted, lexicon, "word", "left", hot_keys(words, "word"))
         times = F.col("n")
 
     sums = [column for lexicon in lexicons for column in _sums(lexicon, times)]
@@ -115,8 +116,12 @@ def _sums(lexicon: Lexicon, times: Column | None) -> list[Column]:
         total = F.sum(added if times is None else added * times)
         columns.append(F.coalesce(total, F.lit(0)).alias(f"{lexicon.name}_{name}"))
     if lexicon.measures:
-        listed = F.when(F.col(f"{lexicon.name}_word_count").isNotNull(), F.col("word_id"))
-        columns.append(F.size(F.collect_set(listed)).alias(f"{lexicon.name}_vocabulary"))
+        listed = F.col(f"{lexicon.name}_word_count").isNotNull()
+        if times is None:
+            vocabulary = F.size(F.collect_set(F.when(listed, F.col("word_id"))))
+        else:
+            vocabulary = F.count_if(listed).cast("int")
+        columns.append(vocabulary.alias(f"{lexicon.name}_vocabulary"))
     return columns
 
 

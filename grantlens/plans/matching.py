@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from grantlens.functions import names as nm
-from grantlens.operators.groups import LIST_LIMIT, collect_ids
+from grantlens.operators.groups import group_ids
 from grantlens.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
 from grantlens.operators.prefix import prefix_join
 from grantlens.session import staged
@@ -80,9 +80,9 @@ def leader_members(projects: DataFrame, leader: str | Column = "project_leader")
     )
 
 
-def grouped_members(members: DataFrame, limit: int = LIST_LIMIT) -> DataFrame:
-    """(name, part, gans) in name order."""
-    return collect_ids(members, "name", "gan", "gans", limit).orderBy("name", "part")
+def grouped_members(members: DataFrame) -> DataFrame:
+    """(name, gan, copies) in name order."""
+    return group_ids(members, "name", "gan").orderBy("name", "gan")
 
 
 def yearly_counts(

@@ -7,11 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from grantlens.functions import text as tx
-from grantlens.operators.joins import BROADCAST_BYTES, fits_broadcast
+from grantlens.operators.joins import BROADCAST_BYTES, fits_broadcast, measured_bytes
 from grantlens.operators.score import CHAR_STATS, score_documents
 from grantlens.session import staged
 from grantlens.sources.lexicon import FINANCE_FLAGS, Lexicon
-from grantlens.sources.sinks import append_table, stamped
+from grantlens.sources.sinks import append_table, stamped, table_or_empty
 
 # ---- fixed values -----------------------------------------------------------
 # Stored texts may end in the printed form of a missing value; these trailing
@@ -83,19 +83,23 @@ def pending(
 ) -> DataFrame:
     """Documents missing from at least one target, with a ``needs_<target>`` flag each.
 
-    Texts are wide, so they are moved only as a last resort: short lists of
-    finished ids, else of open ids, are sent to the texts instead.
+    Every row of ``docs`` is judged by its id: rows that share one are kept or left out
+    together, and a NULL id is in no target.  Texts are wide, so they are moved only
+    as a last resort: short lists of finished ids, else of open ids, are sent to the
+    texts instead.  The result is the same on each way.
     """
     done = {
         name: target.select(id_col).distinct().withColumn(f"done_{name}", F.lit(True))
         for name, target in targets.items()
     }
-    if all(fits_broadcast(ids, max_bytes) for ids in done.values()):
+    if sum(map(measured_bytes, done.values())) <= max_bytes:
         return _open_rows(docs, {name: F.broadcast(ids) for name, ids in done.items()}, id_col)
-    open_ids = _open_rows(docs.select(id_col), done, id_col)
+    with_id, without_id = docs.where(F.col(id_col).isNotNull()), docs.where(F.col(id_col).isNull())
+    open_ids = _open_rows(with_id.select(id_col).distinct(), done, id_col)
     if fits_broadcast(open_ids, max_bytes):
         open_ids = F.broadcast(open_ids)
-    return docs.join(open_ids, id_col)
+    needs = {f"needs_{name}": F.lit(True) for name in done}
+    return with_id.join(open_ids, id_col).unionByName(without_id.withColumns(needs))
 
 
 def _open_rows(rows: DataFrame, done: Mapping[str, DataFrame], id_col: str) -> DataFrame:
@@ -148,14 +152,17 @@ def append_pending(
     id_col: str,
     text_col: str = "text",
 ) -> None:
-    """Score what is missing and append it; running it again adds nothing."""
+    """Score what is missing and append it; running it again adds nothing.
+
+    The first run makes the tables.
+    """
     spark = docs.sparkSession
     rows = score_pending(
         docs,
         finance,
         inquirer,
-        spark.read.parquet(finance_path),
-        spark.read.parquet(inquirer_path),
+        table_or_empty(spark, finance_path, docs.select(id_col).schema),
+        table_or_empty(spark, inquirer_path, docs.select(id_col).schema),
         id_col,
         text_col,
         stage=True,

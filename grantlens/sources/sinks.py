@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 
 def export_csv(df: DataFrame, path: str) -> None:
@@ -20,6 +21,16 @@ def replace_catalog_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").format("parquet").saveAsTable(name)
 
 
+def table_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet table, or no rows of ``schema`` where none has been written yet."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

@@ -17,19 +17,6 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFr
     return spark.read.parquet(path).select(*columns)
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Use all cores for a scan of few splits.
-
-    Only a scan with fewer splits than cores is redistributed, by the key the
-    next aggregate groups on, which then needs no shuffle of its own.  A large
-    table has many splits and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
-    return df
-
-
 def read_text_files(spark: SparkSession, glob: str) -> DataFrame:
     """One row per file: path, whole text, length in characters.
 

@@ -1,3 +1,5 @@
+import dataclasses
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,7 +7,7 @@ from checks import inputs
 from grantlens.operators.score import score_documents
 from grantlens.plans import scoring
 from grantlens.sources import lexicon as lx, sinks
-from grantlens.sources.tables import read_text_files, spread, sql_options
+from grantlens.sources.tables import read_text_files, sql_options
 from grantlens.streaming.scoring import score_batches
 
 
@@ -138,10 +140,36 @@ def test_file_report(spark, finance, tmp_path):
     assert back.count() == 2
 
 
-def test_spread_leaves_wide_scans_alone(spark):
-    narrow, wide = spark.range(0, 10, 1, 1), spark.range(0, 100, 1, 64)
-    assert spread(narrow, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(wide, "id") is wide
+def test_pending_is_the_same_on_each_way(spark):
+    """NULL ids are open; rows that share an id are kept or left out together."""
+    docs = spark.createDataFrame(
+        [(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e"), (None, "f")], "id int, text string"
+    )
+    first = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id int")
+    second = spark.createDataFrame([(2,), (None,)], "id int")
+    bags = [
+        sorted(map(str, scoring.pending(docs, {"a": first, "b": second}, "id", size).collect()))
+        for size in (1 << 26, 0)
+    ]
+    assert bags[0] == bags[1] and len(bags[0]) == 5
+
+
+@pytest.mark.parametrize("max_bytes", [1 << 26, 0])
+def test_words_that_differ_in_case_are_one(spark, texts, finance, max_bytes):
+    again = finance.words.withColumn("word", F.lower("word"))
+    twice = dataclasses.replace(finance, words=finance.words.unionByName(again))
+    stored = scoring.stored_texts(texts)
+    expected = by_id(score_documents(stored, [finance], "id"))
+    assert by_id(score_documents(stored, [twice], "id", max_bytes=max_bytes)) == expected
+
+
+def test_the_first_run_makes_the_tables(spark, texts, finance, tmp_path):
+    inquirer = inputs.inquirer(spark)
+    paths = [str(tmp_path / "a"), str(tmp_path / "s")]
+    for _ in range(2):
+        scoring.append_pending(texts, finance, inquirer, *paths, "id")
+    for path in paths:
+        assert sorted(row.id for row in spark.read.parquet(path).collect()) == [1, 2, 3, 4, 5]
 
 
 def test_sql_tables_are_read_in_ranges():
