@@ -27,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 from sentencepiece import SentencePieceProcessor
 
 from grantlens.llm.workers import Lazy
@@ -38,7 +38,8 @@ CHUNK = 16_384
 BLOCK = 64
 # What a character outside the vocabulary costs beyond the worst piece.
 UNKNOWN_COST = 10.0
-KEPT_WORDS = 600_000
+# Words a worker keeps, and the longest it keeps; about 100 MB.
+KEPT_WORDS = 300_000
 KEPT_LENGTH = 48
 
 Segmented = tuple[float, bytes]
@@ -189,6 +190,11 @@ class Vocabulary:
     def decode(self, ids: np.ndarray) -> str:
         return b"".join(map(self.spelt.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
+    def text(self, chunk: int, ids: bytes) -> str:
+        """Text of a chunk, without the space before the first."""
+        text = self.decode(np.frombuffer(ids, np.uint32))
+        return text[1:] if chunk == 0 else text
+
 
 def vocabulary(path: str | None = None) -> Lazy:
     """The vocabulary that workers use; the file has to be at that path on each of them."""
@@ -311,40 +317,67 @@ def _entry_states(chunks: DataFrame, words: Lazy) -> DataFrame:
     )
 
 
+def _encoded_schema(kind: str, with_text: bool) -> str:
+    return f"doc_id {kind}, chunk long, n_chunks long, ids binary" + ", text string" * with_text
+
+
 def encode(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", words: Lazy | None = None
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    words: Lazy | None = None,
+    with_text: bool = False,
 ) -> DataFrame:
     """One row per chunk: doc_id, chunk, n_chunks, ids (little-endian unsigned 32-bit numbers).
 
     The ids of a document are those of its chunks in order; texts of up to ``CHUNK`` - 1
     characters are one chunk.  A space is put before a text and taken off again by decoding; NULL and empty
-    texts are one chunk without ids.  Ids of documents must be unique; a document with a NULL id
-    is left out if it is longer than a chunk, as its chunks could not be told from others', and
-    otherwise encoded.  An empty table gives an empty result; other columns are not read.
+    texts are one chunk without ids.  ``with_text`` adds what the ids decode to.  Ids of documents must
+    be unique; a document with a NULL id is left out if it is longer than a chunk, as its chunks
+    could not be told from others', and otherwise encoded.  An empty table gives an empty result;
+    other columns are not read.
     """
     words = words or vocabulary()
     plain = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
     ahead = words().longest - 1
+    kind = plain.schema["doc_id"].dataType.simpleString()
+    schema = _encoded_schema(kind, with_text)
     long_text = F.coalesce(F.length("text"), F.lit(0)) >= CHUNK
     several = staged(
         _chunk_rows(plain.where(long_text & F.col("doc_id").isNotNull()), ahead), "chunks"
     )
     placed = several.join(_entry_states(several, words), ["doc_id", "chunk"])
-    single = _chunk_rows(plain.where(~long_text), ahead).select(
-        "*", F.lit(0).cast("long").alias("entry"), F.lit(0).cast("long").alias("leave")
-    )
-    kind = plain.schema["doc_id"].dataType.simpleString()
+
+    def result(keys, chunks, counts, ids):
+        columns = [keys, chunks, counts, pa.array(ids, pa.binary())]
+        if with_text:
+            numbers = pa.array(chunks).to_pylist()
+            columns.append(pa.array(map(words().text, numbers, ids), pa.string()))
+        return pa.RecordBatch.from_arrays(
+            columns, ["doc_id", "chunk", "n_chunks", "ids", "text"][: len(columns)]
+        )
+
+    def whole(batches):
+        """(doc_id, text) -> rows of one chunk."""
+        for batch in batches:
+            texts = [cell.as_py() or "" for cell in batch.column(1)]
+            ids = [words().stretch(SPACE + t.replace(" ", SPACE))[1] if t else b"" for t in texts]
+            n = len(ids)
+            yield result(batch.column(0), pa.array([0] * n, pa.int64()), pa.array([1] * n, pa.int64()), ids)
 
     def segment(batches):
+        """(doc_id, chunk, n_chunks, size, body, entry, leave) -> rows of chunks."""
         for batch in batches:
             cells = zip(*[column.to_pylist() for column in batch.columns[3:]])
             ids = [words().segment(body, size, a, b) for size, body, a, b in cells]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(ids, pa.binary())], ["doc_id", "chunk", "n_chunks", "ids"]
-            )
+            yield result(*batch.columns[:3], ids)
 
-    return single.unionByName(placed.select(*single.columns)).mapInArrow(
-        segment, f"doc_id {kind}, chunk long, n_chunks long, ids binary"
+    return (
+        plain.where(~long_text)
+        .mapInArrow(whole, schema)
+        .unionByName(
+            placed.select(*several.columns, "entry", "leave").mapInArrow(segment, schema)
+        )
     )
 
 
@@ -354,17 +387,14 @@ def decode_beside(encoded: DataFrame, words: Lazy | None = None) -> DataFrame:
 
     def spell(batches):
         for batch in batches:
-            chunks, cells = batch.column(1).to_pylist(), batch.column(3).to_pylist()
-            texts = []
-            for chunk, cell in zip(chunks, cells):
-                text = words().decode(np.frombuffer(cell, np.uint32))
-                texts.append(text[1:] if chunk == 0 else text)
+            texts = map(words().text, batch.column(1).to_pylist(), batch.column(3).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"]
             )
 
-    text = T.StructField("text", T.StringType())
-    return encoded.mapInArrow(spell, T.StructType([*encoded.schema.fields, text]))
+    kind = encoded.schema["doc_id"].dataType.simpleString()
+    rows = encoded.select("doc_id", "chunk", "n_chunks", "ids")
+    return rows.mapInArrow(spell, _encoded_schema(kind, True))
 
 
 def decode(encoded: DataFrame, words: Lazy | None = None) -> DataFrame:

@@ -21,9 +21,8 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks with a checksum of their ids, and of the text that these decode to."""
-    encoded = pieces.encode(_table(spark, sf_dir, "documents"))
-    decoded = encoded.transform(pieces.decode_beside)
-    return decoded.select(
+    encoded = pieces.encode(_table(spark, sf_dir, "documents"), with_text=True)
+    return encoded.select(
         "doc_id",
         "chunk",
         "n_chunks",
