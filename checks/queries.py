@@ -424,8 +424,8 @@ def child_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey AS o_orderkey", "l_linenumber", "l_quantity"
     )
     parents = given.table(spark, sf_dir, "orders").where("o_totalprice >= 200000")
-    kept, rejects = load.guard_children(children, parents, "o_orderkey")
-    return kept.withColumn("reason", F.lit("kept")).unionByName(rejects)
+    marked = load.mark_orphans(children, parents, "o_orderkey")
+    return marked.withColumn("reason", F.coalesce("reason", F.lit("kept")))
 
 
 QUERIES: dict[str, Query] = {

@@ -136,10 +136,15 @@ def last_per_word(lines: DataFrame) -> DataFrame:
 def type_finance(lines: DataFrame) -> DataFrame:
     """Finance cells with types, category flags and the stop-word flag.
 
-    A cell that is not of its type stops the load.
+    A cell that is not of its type stops the load, and so does a number that is not
+    there, as on a line that is too short.
     """
+    missing = F.raise_error(F.lit("a line of the lexicon has fewer cells than it needs"))
     typed = lines.select(
-        *[F.col(name).cast(kind).alias(name) for name, kind in FINANCE_COLUMNS.items()]
+        *[
+            F.col(name) if kind == "string" else F.coalesce(F.col(name).cast(kind), missing).alias(name)
+            for name, kind in FINANCE_COLUMNS.items()
+        ]
     )
     flags = {name: F.col(name) != 0 for name in FINANCE_YEARS}
     flags["strong_modal"] = F.col("modal_number") == STRONG_MODAL

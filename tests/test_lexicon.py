@@ -83,3 +83,10 @@ def test_category_words(spark, finance_file):
 
 def test_stop_words_are_distinct():
     assert len(set(lx.STOP_WORDS)) == len(lx.STOP_WORDS) == 120
+
+
+def test_short_line_stops_the_load(spark, tmp_path):
+    path = tmp_path / "short.csv"
+    path.write_text(HEADER + "\n" + line("X") + "\nshort,1\n")
+    with pytest.raises(Exception, match="fewer cells"):
+        lx.load_finance(spark, str(path)).collect()
