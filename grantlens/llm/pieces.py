@@ -34,7 +34,7 @@ from grantlens.llm.workers import Lazy
 from grantlens.session import staged
 
 SPACE = "▁"
-CHUNK = 16_384
+CHUNK = 65_536
 BLOCK = 64
 # What a character outside the vocabulary costs beyond the worst piece.
 UNKNOWN_COST = 10.0

@@ -178,7 +178,7 @@ def test_the_product_is_associative():
     assert np.array_equal(left, pieces.combined(many))
 
 
-@pytest.mark.parametrize("size, block", [(16_384, 64), (700, 4)])
+@pytest.mark.parametrize("size, block", [(65_536, 64), (700, 4)])
 def test_round_trip_over_chunks(odd_docs, no_docs, monkeypatch, size, block):
     monkeypatch.setattr(pieces, "CHUNK", size)
     monkeypatch.setattr(pieces, "BLOCK", block)
