@@ -22,8 +22,10 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections import ChainMap
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -34,6 +36,8 @@ from grantlens.llm.workers import Lazy
 from grantlens.session import staged
 
 SPACE = "▁"
+# Marks what goes on without a space.
+_INSIDE = "\x01"
 CHUNK = 65_536
 BLOCK = 64
 # What a character outside the vocabulary costs beyond the worst piece.
@@ -67,6 +71,19 @@ class Vocabulary:
         self.words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
         # Words begin with their spaces if no piece has a space after something else.
         self.by_word = not any(pair[1] == SPACE and pair[0] != SPACE for pair in self.inside)
+        self.alone = {piece for piece in self.ids if len(piece) == 1}
+        self.matches = ahocorasick.Automaton()
+        for piece, score in self.scores.items():
+            self.matches.add_word(piece, (len(piece), score))
+        self.matches.make_automaton()
+        # Beside a line end every path passes, and before a stop or comma unless some piece has
+        # what stands before it with it.
+        apart = not any("\n" in pair for pair in self.inside)
+        glued = {pair[0].replace(SPACE, " ") for pair in self.inside if pair[1] in ".,"}
+        after_glued = re.escape("".join(sorted(glued | {" "})))
+        self.sign_glued = re.compile(f"(?<=[{after_glued}])[.,]").search
+        self.plain_words = self.by_word and apart
+        self.kept_plain: dict[str, bytes] = {}
         self.kept: dict[str, Segmented] = {}
         self.spelt = {i: piece.replace(SPACE, " ").encode() for piece, i in self.ids.items()}
         self.spelt |= {i: bytes([byte]) for byte, i in self.bytes.items()}
@@ -99,6 +116,20 @@ class Vocabulary:
                     best[j], back[j] = here + score, i
         return best, back
 
+    def best_path(self, text: str) -> tuple[float, list[int]]:
+        """Score and piece starts of a whole text, like ``forward``."""
+        if not self.alone.issuperset(text):
+            best, back = self.forward(text, len(text))
+            return best[-1], back
+        # Every character is a piece, so every end has a match; the longest come first.
+        best, back = [0.0] + [-np.inf] * len(text), [0] * (len(text) + 1)
+        for last, (size, score) in self.matches.iter(text):
+            start = last + 1 - size
+            score += best[start]
+            if score > best[last + 1]:
+                best[last + 1], back[last + 1] = score, start
+        return best[-1], back
+
     def traced(self, text: str, back: list[int], start: int, stop: int) -> bytes:
         """Ids of the path from ``start`` to ``stop``."""
         parts: list[list[int]] = []
@@ -120,8 +151,8 @@ class Vocabulary:
                 head, tail = self.word(text[:-1]), self.word(text[-1])
                 found = head[0] + tail[0], head[1] + tail[1]
             else:
-                best, back = self.forward(text, len(text))
-                found = best[-1], self.traced(text, back, 0, len(text))
+                score, back = self.best_path(text)
+                found = score, self.traced(text, back, 0, len(text))
             if len(text) <= KEPT_LENGTH:
                 if len(self.kept) >= KEPT_WORDS:
                     self.kept.clear()
@@ -134,6 +165,33 @@ class Vocabulary:
         found = [kept.get(w) or word(w) for w in (self.words(text) if self.by_word else [text])]
         return sum(score for score, _ in found), b"".join(ids for _, ids in found)
 
+    def whole(self, text: str) -> bytes:
+        """Ids of a text, the same as those of ``stretch``, by plain splitting where its signs allow."""
+        if not text:
+            return b""
+        if (
+            not self.plain_words
+            or text[0] in "., \n"
+            or "  " in text
+            or _INSIDE in text
+            or SPACE in text
+            or self.sign_glued(text)
+        ):
+            return self.stretch(SPACE + text.replace(" ", SPACE))[1]
+        marked = text.replace(".", f" {_INSIDE}.").replace(",", f" {_INSIDE},")
+        tokens = marked.replace("\n", f" {_INSIDE}\n {_INSIDE}").split(" ")
+        kept, distinct = self.kept_plain, set(tokens)
+        new = distinct.difference(kept)
+        if len(kept) + len(new) > KEPT_WORDS:
+            kept.clear()
+            new = distinct
+        long = {}
+        for token in new:
+            piece = token[1:] if token.startswith(_INSIDE) else SPACE + token
+            _, back = self.best_path(piece)
+            (kept if len(token) <= KEPT_LENGTH else long)[token] = self.traced(piece, back, 0, len(piece))
+        return b"".join(map((ChainMap(long, kept) if long else kept).__getitem__, tokens))
+
     # ---- chunks ----------------------------------------------------------------------
 
     def cuts(self, text: str, size: int) -> tuple[int, int] | None:
@@ -361,7 +419,7 @@ def encode(
         """(doc_id, text) -> rows of one chunk."""
         for batch in batches:
             texts = [cell.as_py() or "" for cell in batch.column(1)]
-            ids = [words().stretch(SPACE + t.replace(" ", SPACE))[1] if t else b"" for t in texts]
+            ids = list(map(words().whole, texts))
             n = len(ids)
             yield result(batch.column(0), pa.array([0] * n, pa.int64()), pa.array([1] * n, pa.int64()), ids)
 

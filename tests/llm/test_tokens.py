@@ -169,6 +169,14 @@ def test_scan_finds_the_best(text, size):
     assert WORDS.decode(ids) == " " + text
 
 
+@settings(max_examples=800, deadline=None)
+@given(st.text("abcdefgth ,.éß\n日🙂²)(\x01▁", min_size=1, max_size=40))
+def test_plain_splitting_changes_nothing(text):
+    ids = np.frombuffer(WORDS.whole(text), np.uint32)
+    assert score_of(ids.tolist()) == plain_score(pieces.SPACE + text.replace(" ", pieces.SPACE))
+    assert WORDS.decode(ids) == " " + text.replace(pieces.SPACE, " ")
+
+
 def test_the_product_is_associative():
     draw = np.random.default_rng(3)
     many = [draw.integers(-50, 0, (16, 16)).astype(float) for _ in range(9)]
