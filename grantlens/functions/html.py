@@ -16,8 +16,8 @@ from grantlens.functions import text as tx
 _INLINE = "strong|b|em|i|a|span|p|ul|ol|table|h[1-6]"
 # Elements that stand side by side in the running content of a page.
 _BLOCKS = "p|h[1-6]|ul|ol|table|blockquote"
-# What the ids of the marked sections of a page begin with.
-_SECTION_IDS = ("project-", "collapse-")
+# Elements without content.
+_VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 
 
 def attribute(name: str, value: str) -> str:
@@ -48,19 +48,113 @@ def after_id(html: Column, element_id: str) -> Column:
     return after(html, f' id="{element_id}"')
 
 
+def once(value: Column, use) -> Column:
+    """``use(value)``, with the value computed one time however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def inside(html: Column, name: str) -> Column:
+    """Up to the end of the element whose opening tag precedes the text; all of it if the
+    element is not closed.  Inner elements of the same name are passed over."""
+
+    def cut(text):
+        pieces = F.split(text, rf"(?=<{name}\b|</{name}\s*>)", -1)
+        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
+
+        def step(state, piece):
+            depth = (
+                F.when(state["depth"] == 0, 0)
+                .when(piece.rlike(rf"^</{name}\s*>"), state["depth"] - 1)
+                .when(piece.rlike(rf"^<{name}\b"), state["depth"] + 1)
+                .otherwise(state["depth"])
+            )
+            n = state["n"] + F.when(depth > 0, F.length(piece)).otherwise(0)
+            return F.struct(depth.alias("depth"), n.alias("n"))
+
+        return F.left(text, F.aggregate(pieces, start, step, lambda state: state["n"]))
+
+    return once(html, cut)
+
+
 def marked_section(html: Column, element_id: str) -> Column:
-    """From an id attribute to that of the next marked section."""
-    section = after_id(html, element_id)
-    for other in _SECTION_IDS:
-        section = before(section, f' id="{other}')
-    return section
+    """Content of the division with an id, the rest of its opening tag before it."""
+    return inside(after_id(html, element_id), "div")
 
 
 def divisions(html: Column, css_class: str) -> Column:
-    """Content of every division of a class, up to the first that closes in it."""
-    return tx.all_matches(
-        html, "(?s)" + tag("div", attribute("class", css_class)) + "(.*?)</div>"
-    )
+    """Content of every division of a class."""
+    opening = tag("div", attribute("class", css_class))
+
+    def cut(parts):
+        places = F.filter(
+            F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.get(parts, i).rlike("^" + opening)
+        )
+        return F.transform(
+            places,
+            lambda i: inside(
+                F.regexp_replace(
+                    F.array_join(F.slice(parts, i + 1, F.size(parts)), ""), "^<[^>]*>", ""
+                ),
+                "div",
+            ),
+        )
+
+    return F.coalesce(once(F.split(html, f"(?={opening})", -1), cut), F.array().cast("array<string>"))
+
+
+def children(html: Column) -> Column:
+    """HTML of the elements that stand directly in a text, with all that is in them.
+
+    An element that is not closed ends with the one around it.
+    """
+
+    def cut(text):
+        pieces = F.split(text, r"(?=</?[A-Za-z])", -1)
+        start = F.struct(
+            F.array().cast("array<string>").alias("open"),
+            F.lit(1).alias("at"),
+            F.lit(1).alias("begin"),
+            F.array().cast("array<struct<begin:int,n:int>>").alias("found"),
+        )
+
+        def step(state, piece):
+            name = F.lower(F.regexp_extract(piece, r"^</?([A-Za-z][A-Za-z0-9]*)", 1))
+            length = F.length(F.regexp_extract(piece, r"^</?[A-Za-z][^>]*>?", 0))
+            closing = piece.startswith("</")
+            alone = (name != "") & ~closing & (
+                name.isin(*_VOID) | piece.rlike(r"^<[^>]*/>")
+            )
+            # How far from the innermost open element the one that a tag closes is.
+            depth = F.array_position(F.reverse(state["open"]), name).cast("int")
+            opened = (
+                F.when((name == "") | alone, state["open"])
+                .when(~closing, F.concat(state["open"], F.array(name)))
+                .when(depth > 0, F.slice(state["open"], F.lit(1), F.size(state["open"]) - depth))
+                .otherwise(state["open"])
+            )
+            outside = F.size(state["open"]) == 0
+            begin = F.when(outside, state["at"]).otherwise(state["begin"])
+            ends = (outside & alone) | (~outside & (F.size(opened) == 0))
+            one = F.array(
+                F.struct(begin.alias("begin"), (state["at"] + length - begin).alias("n"))
+            )
+            return F.struct(
+                opened.alias("open"),
+                (state["at"] + F.length(piece)).alias("at"),
+                begin.alias("begin"),
+                F.when(ends, F.concat(state["found"], one)).otherwise(state["found"]).alias("found"),
+            )
+
+        return F.aggregate(
+            pieces,
+            start,
+            step,
+            lambda state: F.transform(
+                state["found"], lambda one: F.substring(text, one["begin"], one["n"])
+            ),
+        )
+
+    return F.coalesce(once(html, cut), F.array().cast("array<string>"))
 
 
 def table_rows(table: Column) -> Column:
