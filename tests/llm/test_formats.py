@@ -92,3 +92,33 @@ def test_preference_pairs(spark):
         for text, mask, side in ((r.chosen, r.chosen_mask, chosen), (r.rejected, r.rejected_mask, rejected)):
             assert [text[m.start : m.end] for m in mask] == [f"{t}<|im_end|>\n" for _, role, t in side[n:] if role == A]
     assert preference.preference_pairs(turns.limit(0)).count() == 0
+
+
+NAMED = {
+    "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+    "This work is licensed under the GNU General Public License v3.0.": "GPL-3.0",
+    "This work is licensed under the GNU General Public License.": "GPL",
+    "This work is licensed under the GNU Lesser General Public License, version 2.1.": "LGPL-2.1",
+    "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+    licences.TEMPLATES["GPL-3.0-header"].replace("version 3", "version 2"): "GPL-2.0-header",
+    licences.TEMPLATES["GPL-3.0-header"].replace("General", "Affero General"): "AGPL-3.0-header",
+    licences.TEMPLATES["GPL-3.0-header"].replace("General", "Lesser General").replace("n 3", "n 2.1"): "LGPL-2.1-header",
+    "Licensed under CC BY 3.0.": "CC-BY-3.0",
+    "Licensed under CC BY-NC.": "CC-BY-NC",
+    "Licensed under CC BY-SA 4.0.": "CC-BY-SA-4.0",
+    "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+    "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0-long",
+    "This work is licensed under a Creative Commons Attribution-Non-Commercial 3.0 Unported License.": "CC-BY-NC-3.0-long-b",
+    licences.TEMPLATES.get("MPL-2.0-header", ""): "MPL-2.0-header",
+    licences.TEMPLATES.get("BSD-2-Clause", ""): "BSD-2-Clause",
+    licences.TEMPLATES.get("BSD-3-Clause", "").replace("the copyright holder", "the University"): "BSD-3-Clause",
+    licences.TEMPLATES.get("CC0-mark", ""): "CC0-mark",
+    licences.TEMPLATES.get("Unlicense", ""): "Unlicense",
+    licences.TEMPLATES.get("Apache-2.0-text", ""): "Apache-2.0-text",
+    "Licensed under the Apache License, Version 1.0.": None,
+}
+
+
+def test_licences_by_version_and_family(make_docs):
+    got = {r.doc_id: r.licence for r in licences.licences(make_docs([f"so {t}\nthen more" for t in NAMED])).collect()}
+    assert [got.get(i) for i in range(len(NAMED))] == list(NAMED.values())
