@@ -20,6 +20,7 @@ always the one that merging step by step arrives at.
 
 from __future__ import annotations
 
+import itertools
 import re
 from array import array
 from collections import ChainMap
@@ -29,6 +30,7 @@ import ahocorasick
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from sentencepiece import SentencePieceProcessor
 
@@ -294,53 +296,63 @@ def _square(cell: bytes) -> np.ndarray:
 # ---- jobs ------------------------------------------------------------------------------
 
 
+def _row_keys(task: int, several: int) -> Iterator[int]:
+    """Keys of the rows a task reads; ``several`` is 1 for rows of several chunks, else 0."""
+    return itertools.count((task << 40) + several, 2)
+
+
 def _chunk_rows(docs: DataFrame, ahead: int) -> DataFrame:
-    """(doc_id, chunk, n_chunks, size, body): chunks of normalised texts, with some of what follows."""
+    """(doc_id, row, chunk, n_chunks, size, body): chunks of normalised texts, with some of what follows.
+
+    Rows are told apart by ``row``, never by their id; the result is to be staged.
+    """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = _row_keys(TaskContext.get().partitionId(), 1)
         for batch in batches:
             for row, cell in enumerate(batch.column(1)):
+                key = next(keys)
                 text = cell.as_py() or ""
                 text = SPACE + text.replace(" ", SPACE) if text else ""
                 starts = range(0, max(1, len(text)), CHUNK)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array([row] * len(starts), pa.int64())),
+                        pa.array([key] * len(starts), pa.int64()),
                         pa.array(range(len(starts)), pa.int64()),
                         pa.array([len(starts)] * len(starts), pa.int64()),
                         pa.array([len(text[s : s + CHUNK]) for s in starts], pa.int64()),
                         pa.array([text[s : s + CHUNK + ahead] for s in starts], pa.string()),
                     ],
-                    ["doc_id", "chunk", "n_chunks", "size", "body"],
+                    ["doc_id", "row", "chunk", "n_chunks", "size", "body"],
                 )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(cut, f"doc_id {kind}, chunk long, n_chunks long, size long, body string")
+    return docs.mapInArrow(cut, f"doc_id {kind}, row long, chunk long, n_chunks long, size long, body string")
 
 
 def _entry_states(chunks: DataFrame, words: Lazy) -> DataFrame:
-    """(doc_id, chunk, entry, leave) of documents of several chunks."""
-    kind = chunks.schema["doc_id"].dataType.simpleString()
+    """(row, chunk, entry, leave) of documents of several chunks."""
 
     def matrices(batches):
         for batch in batches:
             cells = zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())
             made = [words().matrix(body, size).tobytes() for size, body in cells]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(made, pa.binary())], ["doc_id", "chunk", "matrix"]
+                [*batch.columns[:2], pa.array(made, pa.binary())], ["row", "chunk", "matrix"]
             )
 
     def block_product(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("chunk")
         whole = combined([_square(cell) for cell in rows["matrix"].to_pylist()])
-        return rows.slice(0, 1).select(["doc_id", "block"]).append_column(
+        return rows.slice(0, 1).select(["row", "block"]).append_column(
             "matrix", pa.array([whole.tobytes()], pa.binary())
         )
 
     def block_states(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by("block")
         states = states_between([_square(cell) for cell in rows["matrix"].to_pylist()], 0, 0)
-        found = rows.select(["doc_id", "block"])
+        found = rows.select(["row", "block"])
         found = found.append_column("from", pa.array(states[:-1], pa.int64()))
         return found.append_column("to", pa.array(states[1:], pa.int64()))
 
@@ -351,32 +363,32 @@ def _entry_states(chunks: DataFrame, words: Lazy) -> DataFrame:
             rows["from"][0].as_py(),
             rows["to"][0].as_py(),
         )
-        found = rows.select(["doc_id", "chunk"])
+        found = rows.select(["row", "chunk"])
         found = found.append_column("entry", pa.array(states[:-1], pa.int64()))
         return found.append_column("leave", pa.array(states[1:], pa.int64()))
 
     made = staged(
-        chunks.select("doc_id", "chunk", "size", "body")
-        .mapInArrow(matrices, f"doc_id {kind}, chunk long, matrix binary")
+        chunks.select("row", "chunk", "size", "body")
+        .mapInArrow(matrices, "row long, chunk long, matrix binary")
         .withColumn("block", F.floor(F.col("chunk") / BLOCK)),
         "chunk-matrices",
     )
     # A text of 2 GB, the most a row can hold, has 2,048 blocks of 64 chunks.
-    products = made.groupBy("doc_id", "block").applyInArrow(
-        block_product, f"doc_id {kind}, block long, matrix binary"
+    products = made.groupBy("row", "block").applyInArrow(
+        block_product, "row long, block long, matrix binary"
     )
-    blocks = products.groupBy("doc_id").applyInArrow(
-        block_states, f"doc_id {kind}, block long, `from` long, `to` long"
+    blocks = products.groupBy("row").applyInArrow(
+        block_states, "row long, block long, `from` long, `to` long"
     )
     return (
-        made.join(blocks, ["doc_id", "block"])
-        .groupBy("doc_id", "block")
-        .applyInArrow(chunk_states, f"doc_id {kind}, chunk long, entry long, leave long")
+        made.join(blocks, ["row", "block"])
+        .groupBy("row", "block")
+        .applyInArrow(chunk_states, "row long, chunk long, entry long, leave long")
     )
 
 
 def _encoded_schema(kind: str, with_text: bool) -> str:
-    return f"doc_id {kind}, chunk long, n_chunks long, ids binary" + ", text string" * with_text
+    return f"doc_id {kind}, chunk long, n_chunks long, ids binary, row long" + ", text string" * with_text
 
 
 def encode(
@@ -386,14 +398,14 @@ def encode(
     words: Lazy | None = None,
     with_text: bool = False,
 ) -> DataFrame:
-    """One row per chunk: doc_id, chunk, n_chunks, ids (little-endian unsigned 32-bit numbers).
+    """One row per chunk: doc_id, chunk, n_chunks, ids (little-endian unsigned 32-bit numbers), row.
 
     The ids of a document are those of its chunks in order; texts of up to ``CHUNK`` - 1
     characters are one chunk.  A space is put before a text and taken off again by decoding; NULL and empty
-    texts are one chunk without ids.  ``with_text`` adds what the ids decode to.  Ids of documents must
-    be unique; a document with a NULL id is left out if it is longer than a chunk, as its chunks
-    could not be told from others', and otherwise encoded.  An empty table gives an empty result;
-    other columns are not read.
+    texts are one chunk without ids.  ``with_text`` adds what the ids decode to.  ``row`` is
+    one number per row of ``docs``, so that rows with a NULL id and rows that repeat an id are encoded
+    each by itself, however long; it says nothing else and can differ from run to run.  An empty
+    table gives an empty result; other columns are not read.
     """
     words = words or vocabulary()
     plain = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
@@ -402,33 +414,35 @@ def encode(
     schema = _encoded_schema(kind, with_text)
     long_text = F.coalesce(F.length("text"), F.lit(0)) >= CHUNK
     several = staged(
-        _chunk_rows(plain.where(long_text & F.col("doc_id").isNotNull()), ahead), "chunks"
+        _chunk_rows(plain.where(long_text), ahead), "chunks"
     )
-    placed = several.join(_entry_states(several, words), ["doc_id", "chunk"])
+    placed = several.join(_entry_states(several, words), ["row", "chunk"])
 
-    def result(keys, chunks, counts, ids):
-        columns = [keys, chunks, counts, pa.array(ids, pa.binary())]
+    def result(keys, rows, chunks, counts, ids):
+        columns = [keys, chunks, counts, pa.array(ids, pa.binary()), rows]
         if with_text:
             numbers = pa.array(chunks).to_pylist()
             columns.append(pa.array(map(words().text, numbers, ids), pa.string()))
         return pa.RecordBatch.from_arrays(
-            columns, ["doc_id", "chunk", "n_chunks", "ids", "text"][: len(columns)]
+            columns, ["doc_id", "chunk", "n_chunks", "ids", "row", "text"][: len(columns)]
         )
 
     def whole(batches):
         """(doc_id, text) -> rows of one chunk."""
+        keys = _row_keys(TaskContext.get().partitionId(), 0)
         for batch in batches:
             texts = [cell.as_py() or "" for cell in batch.column(1)]
             ids = list(map(words().whole, texts))
             n = len(ids)
-            yield result(batch.column(0), pa.array([0] * n, pa.int64()), pa.array([1] * n, pa.int64()), ids)
+            rows = pa.array(itertools.islice(keys, n), pa.int64())
+            yield result(batch.column(0), rows, pa.array([0] * n, pa.int64()), pa.array([1] * n, pa.int64()), ids)
 
     def segment(batches):
-        """(doc_id, chunk, n_chunks, size, body, entry, leave) -> rows of chunks."""
+        """(doc_id, row, chunk, n_chunks, size, body, entry, leave) -> rows of chunks."""
         for batch in batches:
-            cells = zip(*[column.to_pylist() for column in batch.columns[3:]])
+            cells = zip(*[column.to_pylist() for column in batch.columns[4:]])
             ids = [words().segment(body, size, a, b) for size, body, a, b in cells]
-            yield result(*batch.columns[:3], ids)
+            yield result(*batch.columns[:4], ids)
 
     return (
         plain.where(~long_text)
@@ -451,13 +465,13 @@ def decode_beside(encoded: DataFrame, words: Lazy | None = None) -> DataFrame:
             )
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    rows = encoded.select("doc_id", "chunk", "n_chunks", "ids")
+    rows = encoded.select("doc_id", "chunk", "n_chunks", "ids", "row")
     return rows.mapInArrow(spell, _encoded_schema(kind, True))
 
 
 def decode(encoded: DataFrame, words: Lazy | None = None) -> DataFrame:
-    """(doc_id, text): texts put together from their chunks; NULL texts come back empty."""
-    parts = decode_beside(encoded, words).groupBy("doc_id").agg(
+    """(doc_id, text) of every encoded row: texts put together from their chunks; NULL texts come back empty."""
+    parts = decode_beside(encoded, words).groupBy("row", "doc_id").agg(
         F.sort_array(F.collect_list(F.struct("chunk", "text"))).alias("parts")
     )
     return parts.select("doc_id", F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"))

@@ -201,3 +201,23 @@ def test_round_trip_over_chunks(odd_docs, no_docs, monkeypatch, size, block):
         own = [i for chunk in sorted(ids[r.doc_id]) for i in ids[r.doc_id][chunk]]
         assert decoded[r.doc_id] == (r.text or "") == library.decode(own)
     assert pieces.encode(no_docs).count() == 0
+
+
+def test_long_rows_without_an_id_or_with_the_same_one(make_docs, monkeypatch):
+    """Each row is encoded by itself, on either side of the length where texts are cut."""
+    monkeypatch.setattr(pieces, "CHUNK", 50)
+    monkeypatch.setattr(pieces, "BLOCK", 2)
+    texts = [f"{word} text of one row " * times for word in ("first", "second") for times in (1, 9, 30)]
+    rows = make_docs(texts * 2).selectExpr("IF(doc_id % 2 = 0, NULL, 7L) AS doc_id", "text")
+    encoded = pieces.encode(rows, with_text=True)
+    assert sorted(map(str, pieces.decode(encoded).collect())) == sorted(map(str, rows.collect()))
+    got = {}
+    for r in encoded.collect():
+        got.setdefault(r.row, {})[r.chunk] = (r.ids, r.text, r.n_chunks)
+    assert len(got) == 12
+    assert all(sorted(chunks) == list(range(chunks[0][2])) for chunks in got.values())
+    ids = {"".join(c[k][1] for k in sorted(c)): b"".join(c[k][0] for k in sorted(c)) for c in got.values()}
+    plain = {t: np.frombuffer(WORDS.whole(t), np.uint32).tolist() for t in texts}
+    assert {t: score_of(np.frombuffer(one, np.uint32).tolist()) for t, one in ids.items()} == {
+        t: score_of(one) for t, one in plain.items()
+    }
