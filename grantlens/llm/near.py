@@ -17,7 +17,8 @@ A document's set is its distinct five-word shingles.  Documents with
    set is connected there, not its pairs.
 4. **Clusters** of what the leaves connected are then settled on full sets: every pair whose tokens
    agree enough is confirmed, unless its two sets are connected already.  Large clusters are
-   settled in pairs of blocks; a cluster of more than ``MOST_BLOCKS`` blocks, leaf by leaf.
+   settled in pairs of blocks; a cluster of more than ``MOST_BLOCKS`` blocks, leaf by
+   leaf, and a leaf of many shingles again in pairs of blocks.
    Again no pairs come out, only links that connect.
 5. **Components** of the confirmed links.
 
@@ -350,6 +351,35 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ---- the join ----------------------------------------------------------------------------
 
 
+def _in_pairs(sets: DataFrame, group: str) -> DataFrame:
+    """(part, side, doc_id, tokens, shingles): a part for every pair of a group's ``blocks``, own ones included."""
+    block, other = F.col("block"), F.col("other")
+    part = F.struct(
+        F.xxhash64(group, F.least(block, other), F.greatest(block, other)).alias("part"),
+        F.when(block == other, F.lit(-1)).when(block < other, 0).otherwise(1).alias("side"),
+    )
+    return (
+        sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(part.alias("at"), "doc_id", "tokens", "shingles")
+        .select("at.part", "at.side", "doc_id", "tokens", "shingles")
+    )
+
+
+def _leaf_parts(leaves: DataFrame, sets: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(part, side, doc_id, tokens, shingles): the leaves of ``sets`` in pairs of blocks.
+
+    A block has about ``BLOCK_SHINGLES`` shingles, so that a leaf of long texts is in no task as a whole.
+    """
+    inside = leaves.join(sets.select("doc_id"), "doc_id").join(sizes, "doc_id")
+    counted = inside.groupBy("node").agg(
+        F.greatest(F.lit(1), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")
+    )
+    # Other bits than those that dealt the blocks of large nodes.
+    block = F.pmod(F.xxhash64("doc_id", F.lit("leaf")), F.col("blocks")).cast("int")
+    placed = leaves.join(counted, "node").withColumn("block", block)
+    return _in_pairs(placed.join(sets.select("doc_id", "tokens", "shingles"), "doc_id"), "node")
+
+
 def _confirmed_links(docs: DataFrame, clusters: DataFrame, leaves: DataFrame, sizes: DataFrame):
     """Links (a, b) on full sets that connect what is linked inside the clusters."""
     counted = (
@@ -377,22 +407,8 @@ def _confirmed_links(docs: DataFrame, clusters: DataFrame, leaves: DataFrame, si
     texts = docs.join(ids, "doc_id").select("doc_id", "cluster", "blocks", "block", "text")
     schema = texts.drop("text").schema.add("tokens", "binary").add("shingles", "binary")
     sets = staged(texts.mapInArrow(_sets, schema), "sets")
-    block = F.col("block")
-    part = F.struct(
-        F.xxhash64("cluster", F.least(block, F.col("other")), F.greatest(block, F.col("other"))).alias(
-            "part"
-        ),
-        F.when(block == F.col("other"), F.lit(-1)).when(block < F.col("other"), 0).otherwise(1).alias("side"),
-    )
-    paired = (
-        sets.where(F.col("blocks") <= MOST_BLOCKS)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(part.alias("at"), "doc_id", "tokens", "shingles")
-        .select("at.part", "at.side", "doc_id", "tokens", "shingles")
-    )
-    by_leaf = leaves.join(sets.where(F.col("blocks") > MOST_BLOCKS), "doc_id").select(
-        F.col("node").alias("part"), F.lit(-1).alias("side"), "doc_id", "tokens", "shingles"
-    )
+    paired = _in_pairs(sets.where(F.col("blocks") <= MOST_BLOCKS), "cluster")
+    by_leaf = _leaf_parts(leaves, sets.where(F.col("blocks") > MOST_BLOCKS), sizes)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return (
         paired.unionByName(by_leaf)

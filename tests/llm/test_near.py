@@ -120,3 +120,34 @@ def test_components_of_a_path_and_a_star(spark):
     links = spark.createDataFrame(path + star, "a long, b long")
     got = {r.id: r.component for r in connected(links, "test-links").collect()}
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(60)}
+
+
+def test_leaves_of_long_texts_are_split(spark, monkeypatch):
+    """All pairs of a leaf meet once, and no part is much over a block of shingles on a side."""
+    monkeypatch.setattr(near, "BLOCK_SHINGLES", 2_000)
+    long, short = range(100), range(100, 103)
+    sizes = spark.createDataFrame([(i, 100 if i < 100 else 1) for i in range(103)], "doc_id long, n_shingles long")
+    leaves = spark.createDataFrame([(1, i) for i in long] + [(2, i) for i in short], "node long, doc_id long")
+    sets = sizes.selectExpr("doc_id", "9 AS blocks", "0 AS block", "X'00' AS tokens", "X'00' AS shingles")
+    parts = {}
+    for r in near._leaf_parts(leaves, sets, sizes).collect():
+        parts.setdefault(r.part, []).append((r.doc_id, r.side))
+    met = [
+        (min(i, j), max(i, j))
+        for rows in parts.values()
+        for k, (i, a) in enumerate(rows)
+        for j, b in rows[:k]
+        if a < 0 or a != b
+    ]
+    assert len(met) == len(set(met))
+    assert set(met) == {(i, j) for ids in (long, short) for i in ids for j in ids if i < j}
+    for rows in parts.values():
+        assert all(sum(side == one for _, side in rows) <= 40 for one in (-1, 0, 1))
+
+
+def test_split_leaves_agree_with_brute_force(spark, monkeypatch):
+    for name, value in {"LEAF": 8, "DEPTH": 0, "BLOCK": 10, "MOST_BLOCKS": 2, "BLOCK_SHINGLES": 150}.items():
+        monkeypatch.setattr(near, name, value)
+    rows = corpus(3)
+    found = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute(rows)
