@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from grantlens.llm import best_fit, binary_pack, exact, licences, lines, near, pieces, pii, preference, quality
+from grantlens.llm import best_fit, binary_pack, counts, exact, licences, lines, near, pieces, pii, preference, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.token_counts(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -75,4 +79,5 @@ QUERIES = {
     "op8_licence_scan": op8_licence_scan,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op12_token_counts": op12_token_counts,
 }
