@@ -35,7 +35,7 @@ KEPT_LENGTH = 32
 
 _NEVER = np.iinfo(np.int32).max
 # Each begins with a space, since one is put before a text.
-_WORDS = re.compile(" +[^ ]+| +").findall
+_WORDS = re.compile(" +[^ ]*").findall
 
 
 def _points(text: str) -> np.ndarray:
