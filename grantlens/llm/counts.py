@@ -109,9 +109,9 @@ class Counter:
                     made[left * self.base + right] = self.symbols[piece]
         self.rank, self.made = _Table(pairs, _NEVER), _Table(made, 0)
         # Of a run of spaces as many at a time as the longest piece of them holds become one,
-        # from the left, if such pieces come after all others.
+        # from the left, if such pieces come after all others of several characters.
         runs = [SPACE * n for n in range(1, len(scores)) if SPACE * n in scores]
-        last = max(ranks.values())
+        last = max(rank for piece, rank in ranks.items() if len(piece) > 1)
         whole = all(ranks.get(SPACE * n) == last for n in range(2, len(runs) + 1))
         self.run = len(runs) if whole and len(runs) > 1 else None
         self.inside = _Table(
