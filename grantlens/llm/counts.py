@@ -72,6 +72,27 @@ class _Table:
         return out
 
 
+def _run_of_spaces(ranks: dict[str, int]) -> int | None:
+    """How many spaces of a long run become one piece at a time, from the left, if it is always the same number.
+
+    That can be said where pieces of spaces come after all others of several characters: then
+    the words beside a run have taken what they take of it before.
+    """
+    runs = {len(piece) for piece in ranks if piece and not piece.strip(SPACE)}
+    last = max((rank for piece, rank in ranks.items() if len(piece) > 1), default=None)
+    if len(runs) < 2 or any(ranks[SPACE * n] != last for n in runs if n > 1):
+        return None
+    most = max(runs)
+
+    def merged(sizes: list[int]) -> list[int]:
+        while (at := next((i for i in range(len(sizes) - 1) if sizes[i] + sizes[i + 1] in runs), None)) is not None:
+            sizes[at : at + 2] = [sizes[at] + sizes[at + 1]]
+        return sizes
+
+    steady = all(merged([1] * (2 * most + n)) == [most, most, *merged([1] * n)] for n in range(most))
+    return most if steady else None
+
+
 class Counter:
     """Counts of a vocabulary of merges whose file the ``sentencepiece`` library reads."""
 
@@ -108,12 +129,7 @@ class Counter:
                     pairs[left * self.base + right] = ranks[piece]
                     made[left * self.base + right] = self.symbols[piece]
         self.rank, self.made = _Table(pairs, _NEVER), _Table(made, 0)
-        # Of a run of spaces as many at a time as the longest piece of them holds become one,
-        # from the left, if such pieces come after all others of several characters.
-        runs = [SPACE * n for n in range(1, len(scores)) if SPACE * n in scores]
-        last = max(rank for piece, rank in ranks.items() if len(piece) > 1)
-        whole = all(ranks.get(SPACE * n) == last for n in range(2, len(runs) + 1))
-        self.run = len(runs) if whole and len(runs) > 1 else None
+        self.run = _run_of_spaces(ranks)
         self.inside = _Table(
             {self.symbols[a] * self.base + self.symbols[b]: 1 for piece in scores for a, b in zip(piece, piece[1:])}, 0
         )
