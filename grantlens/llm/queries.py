@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from grantlens.llm import best_fit, binary_pack, counts, exact, licences, lines, near, pieces, pii, preference, quality
+from grantlens.llm import best_fit, binary_pack, counts, exact, licences, lines, near, pieces, pii, preference, quality, repair
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -68,6 +68,10 @@ def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(_table(spark, sf_dir, "documents"))
 
 
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_report(repair.damaged(_table(spark, sf_dir, "conversations")), present="present")
+
+
 QUERIES = {
     "op1_pii": op1_pii,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -80,4 +84,5 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
     "op12_token_counts": op12_token_counts,
+    "op13_structure_repair": op13_structure_repair,
 }
