@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from grantlens.llm import best_fit, binary_pack, counts, exact, licences, lines, near, pieces, pii, preference, quality, repair
+from grantlens.llm import best_fit, binary_pack, counts, exact, licences, lines, near, pieces, pii, preference, quality, repair, trie
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(trie.conversations(_table(spark, sf_dir, "conversations"), borrow=True))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.token_counts(_table(spark, sf_dir, "documents"))
 
@@ -83,6 +87,7 @@ QUERIES = {
     "op8_licence_scan": op8_licence_scan,
     "op9_packing": op9_packing,
     "op10_quality_rules": op10_quality_rules,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_token_counts": op12_token_counts,
     "op13_structure_repair": op13_structure_repair,
 }
