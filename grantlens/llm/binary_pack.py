@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from grantlens.llm.tokens import word_encoder
-from grantlens.llm.workers import Lazy
+from grantlens.llm.workers import Lazy, tidied
 
 SEQUENCE = 4096
 END_ID = 2
@@ -35,6 +35,7 @@ def piece_lengths(n: int, longest: int = SEQUENCE) -> list[int]:
     ]
 
 
+@tidied
 def _pieces(batches: Iterator[pa.RecordBatch], encoder: Lazy, longest: int, end_id: int):
     encode, number = encoder().ids, TaskContext.get().partitionId() * NUMBERS_PER_TASK
     for batch in batches:

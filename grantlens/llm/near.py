@@ -32,13 +32,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from grantlens.llm.components import connected
 from grantlens.llm.select import without
-from grantlens.operators.joins import fits_broadcast
+from grantlens.llm.workers import tidied
+from grantlens.operators.joins import fits_broadcast, lookup_join
 from grantlens.session import staged
 
 WORDS = 5
@@ -63,6 +63,23 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+# A number drawn for every byte at each of the first places of a word.
+_DRAWN = _mixed(np.arange(1, 64 * 256 + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """Hashes of words: sums of numbers drawn for each byte at its place."""
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    begin = np.cumsum(lengths) - lengths
+    letters = np.frombuffer(b"".join(words), np.uint8).astype(np.int64)
+    letters += (np.arange(len(letters)) - np.repeat(begin, lengths)) * 256
+    far = np.flatnonzero(letters >= len(_DRAWN))
+    drawn = _DRAWN[np.minimum(letters, len(_DRAWN) - 1)]
+    if len(far):
+        drawn[far] = _mixed((letters[far].astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    return _mixed(np.add.reduceat(drawn, begin) + lengths.astype(np.uint64))
+
+
 def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
     """Sorted distinct hashes of a text's shingles; all its words as one if there are fewer.
 
@@ -71,7 +88,7 @@ def shingle_set(text: bytes, words: int = WORDS) -> np.ndarray:
     found = text.lower().split()
     if not found:
         return np.empty(0, np.uint64)
-    hashes = pd.util.hash_array(np.array(found, dtype=object), categorize=False)
+    hashes = word_hashes(found)
     width = min(words, len(hashes))
     shingles = hashes[: len(hashes) - width + 1].copy()
     for i in range(1, width):
@@ -101,6 +118,7 @@ def _tokens(least: np.ndarray) -> bytes:
     return _mixed(least).astype(np.uint8).tobytes()
 
 
+@tidied
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, text) -> doc_id, n_shingles, digest, roots, tokens."""
     factors = _factors()
@@ -255,6 +273,7 @@ def _smallest_reached(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray
             return label
 
 
+@tidied
 def _connect_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, doc_id, n_shingles, tokens) by node -> (a, b) that connect what is alike in a leaf."""
     for table in _groups(batches):
@@ -282,6 +301,7 @@ def _connect_leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         )
 
 
+@tidied
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replace the text, the last column, by its tokens and its set."""
     factors = _factors()
@@ -308,6 +328,7 @@ def alike(one: np.ndarray, other: np.ndarray) -> bool:
     return 100 * both >= PERCENT * (len(one) + len(other) - both)
 
 
+@tidied
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(part, side, doc_id, tokens, shingles) by part -> (a, b), confirmed links that connect.
 
@@ -458,7 +479,10 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     rep_of = first.join(components, first["rep"] == components["id"], "left").select(
         "digest", F.coalesce("component", "rep").alias("component")
     )
-    marked = signed.select("doc_id", "n_shingles", "digest").join(rep_of, "digest", "left")
+    # One digest can have very many documents, and all those without words have none.
+    marked = lookup_join(
+        signed.select("doc_id", "n_shingles", "digest"), staged(rep_of, "components-of-sets"), "digest", "left"
+    )
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return marked.select(
         "doc_id",

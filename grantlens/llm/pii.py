@@ -32,7 +32,7 @@ import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from grantlens.llm.workers import Lazy
+from grantlens.llm.workers import Lazy, tidied
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "iban", "url")
@@ -252,6 +252,7 @@ def _span_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
+@tidied
 def _redact_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Replace the text, the last column; NULL stays NULL."""
     for batch in batches:

@@ -16,8 +16,8 @@ from tokenizers import Tokenizer
 
 from grantlens.llm.workers import Lazy
 
-# Words a worker keeps, and the longest it keeps; about 120 MB.
-KEPT_WORDS = 600_000
+# Words a worker keeps, those it met first, and the longest it keeps; about 35 MB.
+KEPT_WORDS = 120_000
 KEPT_LENGTH = 48
 
 # Four control characters that str.split takes for white space and the tokenizer does not.
@@ -78,14 +78,14 @@ class WordEncoder:
         words, plain = self._words(text)
         kept, distinct = self.kept, set(words)
         new = [word for word in distinct.difference(kept) if len(word) <= KEPT_LENGTH]
-        if len(kept) + len(new) > KEPT_WORDS:
-            kept.clear()
-            new = [word for word in distinct if len(word) <= KEPT_LENGTH]
         if new:
             self._learn(new, plain)
         long = [word for word in distinct if len(word) > KEPT_LENGTH]
         ids_of = ChainMap(dict(zip(long, self._encode(long))), kept) if long else kept
-        return np.frombuffer(b"".join(map(ids_of.__getitem__, words)), np.uint32)
+        ids = np.frombuffer(b"".join(map(ids_of.__getitem__, words)), np.uint32)
+        while len(kept) > KEPT_WORDS:
+            kept.popitem()
+        return ids
 
 
 def word_encoder(path: str | None = None) -> Lazy:
