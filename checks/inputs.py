@@ -287,7 +287,8 @@ def captured_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         except AnalysisException:
             pass  # the shared folder was cleaned up meanwhile
     _LANDED[key] = new_path(spark, "captured-pages")
-    written_pages(spark, sf_dir).write.parquet(_LANDED[key])
+    # Files small enough for all cores; the orders they are written from can be one file.
+    written_pages(spark, sf_dir).write.option("maxRecordsPerFile", 2000).parquet(_LANDED[key])
     return spark.read.parquet(_LANDED[key])
 
 

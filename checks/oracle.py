@@ -231,7 +231,7 @@ funding AS (
   SELECT k, 'Customer ' || c AS name, CAST(price AS INT) AS funding,
     '<tr><td>Customer ' || c || '</td><td>' || replace(format('{{:,}}', price), ',', ' ') || '</td></tr>' AS raw_text,
     NULL AS reason FROM p
-  UNION ALL SELECT k, 'Fund&nbsp;' || k, 1000, '<tr><td>Fund&nbsp;' || k || '</td><td>1 000</td></tr>', NULL FROM p
+  UNION ALL SELECT k, 'Fund' || chr(160) || k, 1000, '<tr><td>Fund&nbsp;' || k || '</td><td>1 000</td></tr>', NULL FROM p
   UNION ALL SELECT k, 'Beta', NULL, '<tr><td>Beta</td><td>n/a</td></tr>', 'amount is not a whole number' FROM p WHERE k % 10 = 3
   UNION ALL SELECT k, '', NULL, '<tr></tr>', 'fewer than two cells' FROM p WHERE k % 10 = 3
   UNION ALL SELECT k, '5 000', NULL, '<tr><td>Total Cost</td><td>5 000</td></tr>', 'amount is not a whole number' FROM p),

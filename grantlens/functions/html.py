@@ -1,9 +1,6 @@
-"""Expressions that cut values out of captured HTML.
+"""Expressions that cut values out of HTML by plain text search.
 
-A page is first cut into sections at marked tags, by plain text search, and
-fields are then read inside their section.  Tag and attribute names are lower
-case and attribute values stand in double quotes, as in the captured pages.
-Every pattern is linear in the length of the text it reads.
+For what depends on where an element stands see ``elements``.  Every pattern is linear in the length of the text.
 """
 
 from __future__ import annotations
@@ -12,26 +9,6 @@ from pyspark.sql import Column, functions as F
 
 from grantlens.functions import text as tx
 
-# Elements whose text is not part of the text around them.
-_INLINE = "strong|b|em|i|a|span|p|ul|ol|table|h[1-6]"
-# Elements that stand side by side in the running content of a page.
-_BLOCKS = "p|h[1-6]|ul|ol|table|blockquote"
-# Elements without content.
-_VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
-
-
-def attribute(name: str, value: str) -> str:
-    """Pattern of an attribute with a value."""
-    return rf'\s{name}="{value}"'
-
-
-def tag(name: str, *attributes: str) -> str:
-    """Pattern of an opening tag that has all the attributes, in any order."""
-    if len(attributes) == 1:
-        return rf"<{name}\b[^>]*{attributes[0]}[^>]*>"
-    looks = "".join(f"(?=[^>]*{pattern})" for pattern in attributes)
-    return rf"<{name}\b{looks}[^>]*>"
-
 
 def after(html: Column, marker: str) -> Column:
     """What follows a marker text, up to its next place if any; '' without one."""
@@ -43,188 +20,6 @@ def before(html: Column, marker: str) -> Column:
     return F.substring_index(html, marker, 1)
 
 
-def after_id(html: Column, element_id: str) -> Column:
-    """What follows an id attribute, the end of its tag included; '' without one."""
-    return after(html, f' id="{element_id}"')
-
-
-def once(value: Column, use) -> Column:
-    """``use(value)``, with the value computed one time however often it is used."""
-    return F.transform(F.array(value), use)[0]
-
-
-def inside(html: Column, name: str) -> Column:
-    """Up to the end of the element whose opening tag precedes the text; all of it if the
-    element is not closed.  Inner elements of the same name are passed over."""
-
-    def cut(text):
-        pieces = F.split(text, rf"(?=<{name}\b|</{name}\s*>)", -1)
-        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("n"))
-
-        def step(state, piece):
-            depth = (
-                F.when(state["depth"] == 0, 0)
-                .when(piece.rlike(rf"^</{name}\s*>"), state["depth"] - 1)
-                .when(piece.rlike(rf"^<{name}\b"), state["depth"] + 1)
-                .otherwise(state["depth"])
-            )
-            n = state["n"] + F.when(depth > 0, F.length(piece)).otherwise(0)
-            return F.struct(depth.alias("depth"), n.alias("n"))
-
-        return F.left(text, F.aggregate(pieces, start, step, lambda state: state["n"]))
-
-    return once(html, cut)
-
-
-def marked_section(html: Column, element_id: str) -> Column:
-    """Content of the division with an id, the rest of its opening tag before it."""
-    return inside(after_id(html, element_id), "div")
-
-
-def divisions(html: Column, css_class: str) -> Column:
-    """Content of every division of a class."""
-    opening = tag("div", attribute("class", css_class))
-
-    def cut(parts):
-        places = F.filter(
-            F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.get(parts, i).rlike("^" + opening)
-        )
-        return F.transform(
-            places,
-            lambda i: inside(
-                F.regexp_replace(
-                    F.array_join(F.slice(parts, i + 1, F.size(parts)), ""), "^<[^>]*>", ""
-                ),
-                "div",
-            ),
-        )
-
-    return F.coalesce(once(F.split(html, f"(?={opening})", -1), cut), F.array().cast("array<string>"))
-
-
-def children(html: Column) -> Column:
-    """HTML of the elements that stand directly in a text, with all that is in them.
-
-    An element that is not closed ends with the one around it.
-    """
-
-    def cut(text):
-        pieces = F.split(text, r"(?=</?[A-Za-z])", -1)
-        start = F.struct(
-            F.array().cast("array<string>").alias("open"),
-            F.lit(1).alias("at"),
-            F.lit(1).alias("begin"),
-            F.array().cast("array<struct<begin:int,n:int>>").alias("found"),
-        )
-
-        def step(state, piece):
-            name = F.lower(F.regexp_extract(piece, r"^</?([A-Za-z][A-Za-z0-9]*)", 1))
-            length = F.length(F.regexp_extract(piece, r"^</?[A-Za-z][^>]*>?", 0))
-            closing = piece.startswith("</")
-            alone = (name != "") & ~closing & (
-                name.isin(*_VOID) | piece.rlike(r"^<[^>]*/>")
-            )
-            # How far from the innermost open element the one that a tag closes is.
-            depth = F.array_position(F.reverse(state["open"]), name).cast("int")
-            opened = (
-                F.when((name == "") | alone, state["open"])
-                .when(~closing, F.concat(state["open"], F.array(name)))
-                .when(depth > 0, F.slice(state["open"], F.lit(1), F.size(state["open"]) - depth))
-                .otherwise(state["open"])
-            )
-            outside = F.size(state["open"]) == 0
-            begin = F.when(outside, state["at"]).otherwise(state["begin"])
-            ends = (outside & alone) | (~outside & (F.size(opened) == 0))
-            one = F.array(
-                F.struct(begin.alias("begin"), (state["at"] + length - begin).alias("n"))
-            )
-            return F.struct(
-                opened.alias("open"),
-                (state["at"] + F.length(piece)).alias("at"),
-                begin.alias("begin"),
-                F.when(ends, F.concat(state["found"], one)).otherwise(state["found"]).alias("found"),
-            )
-
-        return F.aggregate(
-            pieces,
-            start,
-            step,
-            lambda state: F.transform(
-                state["found"], lambda one: F.substring(text, one["begin"], one["n"])
-            ),
-        )
-
-    return F.coalesce(once(html, cut), F.array().cast("array<string>"))
-
-
-def table_rows(table: Column) -> Column:
-    """HTML of the rows of a table."""
-    return tx.all_matches(table, r"(?s)<tr\b[^>]*>(.*?)</tr>")
-
-
-def cell(rows: Column, row: int, column: int) -> Column:
-    """HTML of a table cell, counted from 1."""
-    cells = tx.all_matches(F.get(rows, F.lit(row - 1)), r"(?s)<td\b[^>]*>(.*?)</td>")
-    return F.get(cells, F.lit(column - 1))
-
-
-def head_text(html: Column, element: str, *attributes: str) -> Column:
-    """Text directly at the head of the first such element, entities unresolved;
-    '' without one."""
-    return tx.found(html, tag(element, *attributes) + "([^<]+)")
-
-
-def head_texts(html: Column, element: str, *attributes: str) -> Column:
-    return tx.all_matches(html, tag(element, *attributes) + "([^<]+)")
-
-
-def text_nodes(html: Column) -> Column:
-    """Texts that stand directly in an element, without those of inner elements;
-    entities unresolved."""
-    bare = F.regexp_replace(
-        html, rf"(?s)<!--.*?-->|<({_INLINE})\b[^>]*>.*?</\1\s*>", "<>"
-    )
-    return F.filter(F.split(bare, "<[^>]*>"), lambda node: F.length(node) > 0)
-
-
-def inner(element: Column) -> Column:
-    return F.regexp_replace(element, r"^<[^>]*>|<[^>]*>$", "")
-
-
-def blocks(html: Column) -> Column:
-    """Paragraphs, headings, lists and tables side by side, in page order."""
-    return tx.all_matches(html, rf"(?s)<({_BLOCKS})\b[^>]*>.*?</\1\s*>", 0)
-
-
-def is_list(block: Column) -> Column:
-    return block.rlike(r"^<ul\b")
-
-
 def list_items(html: Column) -> Column:
     """HTML of the items of a list."""
     return tx.all_matches(html, r"(?s)<li\b[^>]*>.*?</li\s*>", 0)
-
-
-def says(html: Column, word: str) -> Column:
-    """Whether the text of an element contains a word."""
-    return F.contains(F.regexp_replace(html, "<[^>]*>", ""), F.lit(word))
-
-
-def lists_after(block_array: Column, word: str) -> Column:
-    """Items of every list that is the first to follow a block saying the word."""
-    start = F.struct(
-        F.lit(False).alias("open"),
-        F.array().cast("array<string>").alias("items"),
-    )
-
-    def step(state: Column, block: Column) -> Column:
-        taken = F.when(
-            state["open"] & is_list(block),
-            F.concat(state["items"], F.transform(list_items(block), tx.strip_tags)),
-        ).otherwise(state["items"])
-        still_open = state["open"] & ~is_list(block)
-        return F.struct(
-            (says(block, word) | still_open).alias("open"), taken.alias("items")
-        )
-
-    return F.aggregate(block_array, start, step, lambda state: state["items"])

@@ -1,11 +1,15 @@
 """Text expressions used by the scoring and page jobs.
 
 Every function takes and returns a Column, so the whole expression stays inside
-the JVM.  NULL text counts as empty text.
+the JVM, but for entities, whose names the standard library knows.  NULL text counts as empty text.
 """
 
 from __future__ import annotations
 
+import html
+
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, functions as F
 
 # ---- fixed values -----------------------------------------------------------
@@ -77,9 +81,9 @@ def strip_space(text: Column) -> Column:
     return F.regexp_replace(text, f"^{SPACE_CHARS}+|{SPACE_CHARS}+$", "")
 
 
-def strip_tags(html: Column) -> Column:
+def strip_tags(markup: Column) -> Column:
     """Drop tags, turn line breaks into spaces, trim."""
-    without_tags = F.regexp_replace(html, TAG_PATTERN, "")
+    without_tags = F.regexp_replace(markup, TAG_PATTERN, "")
     return strip_space(F.replace(without_tags, F.lit("\n"), F.lit(" ")))
 
 
@@ -129,50 +133,32 @@ def all_matches(text: Column, pattern: str, group: int = 1) -> Column:
     return F.regexp_extract_all(or_empty(text), F.lit(pattern), F.lit(group))
 
 
-def decoded(text: str) -> str:
-    """SQL that resolves entities in the text a SQL expression gives.
+def _entities_resolved(kind: str):
+    """Function over batches that resolves entities like the standard library; batches without any pass untouched."""
 
-    Handles numeric references and the entities of markup itself; other text is
-    passed through untouched.
-    """
-    parts = f"split({text}, '&#')"
-    numeric = (
-        f"CASE WHEN contains({text}, '&#') THEN concat(get({parts}, 0), array_join(transform("
-        f"slice({parts}, 2, greatest(size({parts}) - 1, 0)), part -> {_NUMERIC_REFERENCE}), '')) "
-        f"ELSE {text} END"
-    )
-    named = numeric
-    for entity, char in _ENTITIES:
-        named = f"replace({named}, '{entity}', '{char}')"
-    return f"CASE WHEN contains({text}, '&') THEN {named} ELSE {text} END"
+    def resolve(cells: pa.Array) -> pa.Array:
+        flat = cells if kind == "string" else cells.flatten()
+        if not pc.any(pc.match_substring(flat, "&")).as_py():
+            return cells
 
+        def one(text):
+            return text if text is None or "&" not in text else html.unescape(text)
 
-def decode_entities(column: str) -> Column:
-    """Text column with its entities resolved; '' becomes NULL."""
-    return F.expr(decoded(f"nullif({column}, '')"))
+        values = cells.to_pylist()
+        if kind == "string":
+            return pa.array([one(text) for text in values], cells.type)
+        return pa.array([texts and [one(text) for text in texts] for texts in values], cells.type)
 
+    # Names of types are for readers here, which the decorator would take for its own.
+    resolve.__annotations__ = {"cells": pa.Array, "return": pa.Array}
+    return F.arrow_udf(resolve, kind)
 
-def decode_each(column: str) -> Column:
-    """Array column with the entities of every text resolved."""
-    return F.expr(f"transform({column}, text -> {decoded('text')})")
 
+def unescaped(text: Column) -> Column:
+    """Text with its entities resolved, named and numeric."""
+    return _entities_resolved("string")(text)
 
-# The ampersand comes last, so that what it forms is not resolved again.
-_ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "\\'"),
-    ("&nbsp;", "\u00a0"),
-    ("&amp;", "&"),
-)
-_DECIMAL = r"regexp_extract(part, r'^(\d{1,7});', 1)"
-_HEXADECIMAL = r"regexp_extract(part, r'^[xX]([0-9A-Fa-f]{1,6});', 1)"
-_CODE = (
-    f"CASE WHEN {_DECIMAL} <> '' THEN hex(try_cast({_DECIMAL} AS INT)) "
-    f"WHEN {_HEXADECIMAL} <> '' THEN {_HEXADECIMAL} END"
-)
-_NUMERIC_REFERENCE = (
-    f"coalesce(concat(decode(unhex(lpad({_CODE}, 8, '0')), 'UTF-32'), "
-    "regexp_replace(part, r'^[xX]?[0-9A-Fa-f]+;', '')), concat('&#', part))"
-)
+
+def each_unescaped(texts: Column) -> Column:
+    """Array with the entities of every text resolved."""
+    return _entities_resolved("array<string>")(texts)

@@ -1,3 +1,4 @@
+import html
 import re
 
 import pytest
@@ -96,23 +97,18 @@ def test_url_part(one):
 
 
 def test_entities(one):
-    def decode(text):
-        return F.expr(tx.decoded("t"))
-
-    assert one(decode, "a &amp;lt; &#233;&#x20AC; &#zz &lt;&apos;&nbsp;") == "a &lt; é€ &#zz <'\u00a0"
-    assert one(decode, "plain") == "plain"
-    assert one(lambda t: tx.decode_entities("t"), "") is None
-    assert one(lambda t: tx.decode_entities("t"), None) is None
-
-
-@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.text(alphabet=st.characters(codec="utf-8", exclude_categories=["Cs", "Cn"]), max_size=40), min_size=30, max_size=30))
-def test_tokens_and_numbers_match_python(spark, texts):
-    rows = spark.createDataFrame([(text,) for text in texts], "t string").select(
-        "t", tx.tokens(F.col("t")).alias("w"), tx.number_count(F.col("t")).alias("n")
-    )
-    for text, words, numbers in rows.collect():
-        if any(ord(char) > 0x2FFF for char in text):
-            continue  # letters newer than the Unicode tables of the Java runtime
-        assert words == re.findall(r"\w+", text)
-        assert numbers == python_numbers(text)
+    assert one(tx.unescaped, "a &amp;lt; &#233;&#x20AC; &#zz &lt;&apos;&nbsp;") == "a &lt; é€ &#zz <'\u00a0"
+    assert one(tx.unescaped, "plain") == "plain"
+    assert one(tx.unescaped, None) is None
+
+
+ENTITY_PARTS = ["&eacute;", "&euro;", "&notit;", "&amp;amp;", "&#", "&#x41;", "&", ";", "x", "&NotEqualTilde;", "&lt", "é"]
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.lists(st.sampled_from(ENTITY_PARTS)).map("".join), min_size=20, max_size=60))
+def test_entities_as_the_standard_library_resolves_them(spark, texts):
+    rows = spark.createDataFrame([(text, [text, None, text[1:]]) for text in texts], "t string, a array<string>")
+    for row in rows.select("t", tx.unescaped(rows["t"]).alias("u"), "a", tx.each_unescaped(rows["a"]).alias("b")).collect():
+        assert row.u == html.unescape(row.t)
+        assert row.b == [None if text is None else html.unescape(text) for text in row.a]
