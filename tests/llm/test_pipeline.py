@@ -20,7 +20,7 @@ from .test_quality import counts
 def test_everything_is_registered():
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
     numbers = {int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES}
-    assert numbers == set(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert numbers == set(range(1, 14)) and set(ORACLE) <= set(QUERIES)
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "lines", "near", "pii", "packing"]
 
 
