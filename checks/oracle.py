@@ -390,6 +390,13 @@ SELECT 'funding' AS kind, gan_no AS gan, name, funding AS amount
 FROM fresh JOIN funding USING (k) WHERE funding.reason IS NULL
 UNION ALL SELECT 'participant', gan_no, name, NULL
 FROM fresh JOIN participant USING (k) WHERE participant.reason IS NULL""",
+    "project_load_twice": f"""
+WITH {PROJECTS},
+loaded AS (
+  SELECT 'projects' AS table_name, gan_no FROM fresh
+  UNION ALL SELECT 'fundings', gan_no FROM fresh JOIN funding USING (k) WHERE funding.reason IS NULL
+  UNION ALL SELECT 'participants', gan_no FROM fresh JOIN participant USING (k) WHERE participant.reason IS NULL)
+SELECT table_name, 'first' AS batch, count(*) AS n_rows, CAST(sum(gan_no) AS BIGINT) AS gans FROM loaded GROUP BY table_name""",
     "project_load_rejects": f"""
 WITH {PROJECTS},
 refusals AS (

@@ -397,6 +397,26 @@ def project_load_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejects.groupBy("kind", "reason", "page_id").agg(F.count(F.lit(1)).alias("n"))
 
 
+def project_load_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows by table and batch, after the same pages were loaded under two names and once more under the first."""
+    store = page_load.project_store(spark, new_path(spark, "project-store"))
+    known = given.known_projects(spark, sf_dir)
+    empty = {name: spark.createDataFrame([], schema) for name, schema in store.schemas.items()}
+    store.publish("known", empty | {"projects": empty["projects"].unionByName(known, allowMissingColumns=True)})
+    pages = given.captured_pages(spark, sf_dir)
+    for batch in ("first", "second", "first"):
+        page_load.publish_projects(store, pages, batch)
+    counted = [
+        store.read(name)
+        .where("batch <> 'known'")
+        .groupBy("batch")
+        .agg(F.count(F.lit(1)).alias("n_rows"), F.sum("gan").alias("gans"))
+        .select(F.lit(name).alias("table_name"), "batch", "n_rows", "gans")
+        for name in ("projects", "fundings", "participants")
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
 def _call_load(spark: SparkSession, sf_dir: str) -> page_load.CallLoad:
     return page_load.load_calls(given.captured_pages(spark, sf_dir), given.known_calls(spark, sf_dir))
 
@@ -472,6 +492,7 @@ QUERIES: dict[str, Query] = {
         project_load,
         project_load_children,
         project_load_rejects,
+        project_load_twice,
         call_load,
         call_load_rejects,
         load_if_absent,
