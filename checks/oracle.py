@@ -288,6 +288,13 @@ FROM documents LEFT JOIN words ON id = doc_id GROUP BY doc_id""",
     "pending_documents": f"""
 SELECT doc_id, CAST(length(text) AS INT) AS n_chars, NOT {QUALITY} AS needs_finance, NOT {TOXIC} AS needs_inquirer
 FROM documents WHERE NOT {QUALITY} OR NOT {TOXIC}""",
+    "pending_by_bits": """
+SELECT * FROM (
+  SELECT doc_id, CAST(length(text) AS INT) AS n_chars,
+    doc_id NOT IN (SELECT l_partkey FROM lineitem) AS needs_part,
+    doc_id NOT IN (SELECT l_orderkey FROM lineitem) AS needs_order
+  FROM documents)
+WHERE needs_part OR needs_order""",
     "incremental_profile": _finance(where=f"NOT {QUALITY}"),
     "incremental_inquirer": _inquirer(f"NOT {TOXIC}"),
     "append_scores": f"""

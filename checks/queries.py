@@ -88,6 +88,21 @@ def pending_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pending_by_bits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose id is no key of parts or no key of orders in the line items, found by
+    bitmaps of these keys, as for finished ids too many for a list."""
+    keys = given.table(spark, sf_dir, "lineitem")
+    targets = {
+        "part": keys.select(F.col("l_partkey").alias("doc_id")),
+        "order": keys.select(F.col("l_orderkey").alias("doc_id")),
+    }
+    docs = given.table(spark, sf_dir, "documents", "doc_id", "text")
+    open_docs = scoring.pending(docs, targets, "doc_id", max_list_bytes=0)
+    return open_docs.select(
+        "doc_id", F.length("text").alias("n_chars"), "needs_part", "needs_order"
+    )
+
+
 def _incremental(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return scoring.score_pending(
         given.documents(spark, sf_dir),
@@ -459,6 +474,7 @@ QUERIES: dict[str, Query] = {
         trailing_strip,
         word_counts,
         pending_documents,
+        pending_by_bits,
         incremental_profile,
         incremental_inquirer,
         append_scores,

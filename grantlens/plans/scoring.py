@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, functions as F
 
 from grantlens.functions import text as tx
+from grantlens.operators.id_bits import bitmaps_fit, id_bitmaps, is_whole, with_membership
 from grantlens.operators.joins import BROADCAST_BYTES, fits_broadcast, measured_bytes
 from grantlens.operators.score import CHAR_STATS, score_documents
 from grantlens.session import staged
@@ -80,20 +81,28 @@ def pending(
     targets: Mapping[str, DataFrame],
     id_col: str,
     max_bytes: int = BROADCAST_BYTES,
+    max_list_bytes: int | None = None,
 ) -> DataFrame:
     """Documents missing from at least one target, with a ``needs_<target>`` flag each.
 
     Every row of ``docs`` is judged by its id: rows that share one are kept or left out
     together, and a NULL id is in no target.  Texts are wide, so they are moved only
-    as a last resort: short lists of finished ids, else of open ids, are sent to the
-    texts instead.  The result is the same on each way.
+    as a last resort: short lists of finished ids, else bitmaps of whole-number ids, else lists of
+    open ids are sent to the texts instead.  The result is the same on each way.
+    ``max_list_bytes`` is the size up to which finished ids are sent as a list, else ``max_bytes``.
     """
     done = {
         name: target.select(id_col).distinct().withColumn(f"done_{name}", F.lit(True))
         for name, target in targets.items()
     }
-    if sum(map(measured_bytes, done.values())) <= max_bytes:
+    most = max_bytes if max_list_bytes is None else max_list_bytes
+    if most > 0 and sum(map(measured_bytes, done.values())) <= most:
         return _open_rows(docs, {name: F.broadcast(ids) for name, ids in done.items()}, id_col)
+    share = max_bytes // max(1, len(targets))
+    if all(
+        is_whole(frame, id_col) for frame in (docs, *targets.values())
+    ) and all(bitmaps_fit(target, id_col, share) for target in targets.values()):
+        return _open_by_bits(docs, targets, id_col)
     with_id, without_id = docs.where(F.col(id_col).isNotNull()), docs.where(F.col(id_col).isNull())
     open_ids = _open_rows(with_id.select(id_col).distinct(), done, id_col)
     if fits_broadcast(open_ids, max_bytes):
@@ -112,6 +121,16 @@ def _open_rows(rows: DataFrame, done: Mapping[str, DataFrame], id_col: str) -> D
     )
 
 
+def _open_by_bits(docs: DataFrame, targets: Mapping[str, DataFrame], id_col: str) -> DataFrame:
+    rows = docs
+    for name, target in targets.items():
+        bitmaps = staged(id_bitmaps(target, id_col), "id-bits")
+        rows = with_membership(rows, bitmaps, id_col, f"needs_{name}")
+    needs = [f"needs_{name}" for name in targets]
+    opened = rows.withColumns({need: ~F.col(need) for need in needs}).where(" or ".join(needs))
+    return opened.select(id_col, *[name for name in docs.columns if name != id_col], *needs)
+
+
 def score_pending(
     docs: DataFrame,
     finance: Lexicon,

@@ -140,18 +140,30 @@ def test_file_report(spark, finance, tmp_path):
     assert back.count() == 2
 
 
-def test_pending_is_the_same_on_each_way(spark):
+@pytest.mark.parametrize("kind", ["int", "bigint"])
+def test_pending_is_the_same_on_each_way(spark, kind):
     """NULL ids are open; rows that share an id are kept or left out together."""
     docs = spark.createDataFrame(
-        [(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e"), (None, "f")], "id int, text string"
+        [(1, "a"), (1, "b"), (2, "c"), (3, "d"), (None, "e"), (None, "f"), (0, "g"), (-5, "h"), (-32768, "i")],
+        f"id {kind}, text string",
     )
-    first = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id int")
-    second = spark.createDataFrame([(2,), (None,)], "id int")
+    first = spark.createDataFrame([(1,), (2,), (2,), (None,), (-5,)], f"id {kind}")
+    second = spark.createDataFrame([(2,), (None,), (0,), (-32768,), (-5,)], f"id {kind}")
+    ways = [{}, {"max_list_bytes": 0}, {"max_bytes": 0}]
     bags = [
-        sorted(map(str, scoring.pending(docs, {"a": first, "b": second}, "id", size).collect()))
-        for size in (1 << 26, 0)
+        sorted(map(str, scoring.pending(docs, {"a": first, "b": second}, "id", **way).collect()))
+        for way in ways
     ]
-    assert bags[0] == bags[1] and len(bags[0]) == 5
+    assert bags[0] == bags[1] == bags[2] and len(bags[0]) == 7
+
+
+def test_texts_stay_in_place_with_many_finished_ids(spark):
+    docs = spark.range(20_000).select((F.col("id") * 1000 - 5_000_000).alias("id"), F.lit("t").alias("text"))
+    done = spark.range(-2_000_000, 8_000_000)
+    opened = scoring.pending(docs, {"a": done}, "id")
+    plan = opened._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert opened.count() == 10_000
 
 
 @pytest.mark.parametrize("max_bytes", [1 << 26, 0])
