@@ -372,6 +372,24 @@ absolute AS (
   SELECT DISTINCT CASE WHEN starts_with(href, '/') THEN site || replace(href, '&amp;', '&') ELSE href END AS url FROM found)
 SELECT url FROM absolute WHERE regexp_matches(url, '/[A-Za-z]+$')
   AND regexp_matches(url, '^https?://([^/?#:]*\.)?example\.(com|org)([/?#:]|$)')""",
+    "page_addresses": r"""
+WITH found AS (
+  SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS site,
+    unnest(regexp_extract_all(html, '<a\b[^>]*?\shref="([^"]*)"', 1)) AS href FROM pages),
+absolute AS (
+  SELECT page_id, CASE WHEN starts_with(href, '/') THEN site || replace(href, '&amp;', '&') ELSE href END AS url FROM found),
+every AS (
+  SELECT url, page_id, 0 AS own FROM absolute UNION ALL SELECT url, page_id, 1 FROM pages),
+cut AS (
+  SELECT page_id, own, regexp_extract(url, '^([^?#]*)', 1) AS place,
+    regexp_extract(url, '^[^?#]*\?([^#]*)', 1) AS query FROM every),
+formed AS (
+  SELECT page_id, own, place || CASE WHEN query = '' THEN ''
+    ELSE '?' || array_to_string(list_sort(string_split(query, '&')), '&') END AS url FROM cut)
+SELECT url, CAST(count(*) FILTER (own = 0) AS BIGINT) AS n_links,
+  CAST(count(DISTINCT page_id) FILTER (own = 0) AS BIGINT) AS n_pages,
+  CAST(count(*) FILTER (own = 1) AS BIGINT) AS captured
+FROM formed GROUP BY url""",
     "page_dispatch": """
 SELECT CASE WHEN o_orderkey % 4 = 0 THEN 'call' ELSE 'project' END AS kind, o_orderkey AS page_id FROM orders""",
     "project_pages": f"WITH {PROJECTS} SELECT * FROM items",

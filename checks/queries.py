@@ -352,6 +352,11 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pg.links(given.table(spark, sf_dir, "pages"), LINK_PATTERN, LINK_DOMAINS)
 
 
+def page_addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Addresses of the pages and of what they link to, each in its normal form."""
+    return pg.linked_addresses(given.table(spark, sf_dir, "pages"))
+
+
 def page_dispatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which loader takes a page, by its address."""
     pages = given.captured_pages(spark, sf_dir)
@@ -500,6 +505,7 @@ QUERIES: dict[str, Query] = {
         export_roundtrip,
         page_fields,
         page_links,
+        page_addresses,
         page_dispatch,
         project_pages,
         call_pages,

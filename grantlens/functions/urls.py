@@ -9,6 +9,22 @@ from pyspark.sql import Column, functions as F
 
 _SCHEME = r"^([A-Za-z][A-Za-z0-9+.-]*):"
 
+# ---- fixed values: endings of files that are no pages --------------------------
+FILE_ENDINGS = tuple(
+    # archives
+    "7z bz2 gz rar tar xz zip "
+    # images and drawings
+    "ai bmp cdr drw dxf eps gif ico jpeg jpg png ps svg tif tiff webp "
+    # sound and moving pictures
+    "aac aiff avi flv m4a m4v mid mov mp3 mp4 mpg ogg wav webm wma wmv "
+    # documents
+    "doc docx odp ods odt pdf pps ppt pptx xls xlsx "
+    # others
+    "apk bin css dmg exe iso jar js msi rss".split()
+)
+DEFAULT_PORTS = {"http": "80", "https": "443"}
+# -----------------------------------------------------------------------------
+
 
 def absolute_url(base: Column, href: Column) -> Column:
     """Address of a link on a page, made absolute."""
@@ -60,6 +76,69 @@ def _folded(segments: Column) -> Column:
     return F.transform(F.array(segments), fold)[0]
 
 
+def normal_form(url: Column, keep_fragment: bool = False) -> Column:
+    """One form for addresses that name the same page; applied again it changes nothing.
+
+    Scheme and host in lower case, no default port, ``/`` for an empty path, parameters in the order of
+    their names and values without empty ones, percent escapes in upper case, no fragment unless it is
+    kept.  Characters beyond ASCII stay as they are.  Addresses without a host only have their scheme
+    lowered and their fragment left out; NULL stays NULL.
+    """
+
+    def form(given):
+        scheme = F.lower(F.regexp_extract(given, _SCHEME, 1))
+        fragment = F.regexp_extract(given, r"(?s)^[^#]*(#.+)$", 1) if keep_fragment else F.lit("")
+        body = F.regexp_extract(given, r"^([^#]*)", 1)
+        rest = F.regexp_replace(body, _SCHEME, "")
+        authority = F.regexp_extract(rest, r"^//([^/?]*)", 1)
+        user = F.regexp_extract(authority, r"^(.*@)", 1)
+        site = F.lower(F.regexp_extract(authority, r"^(?:.*@)?(.*)$", 1))
+        usual = [(scheme == name) & site.rlike(f":{port}$") for name, port in DEFAULT_PORTS.items()]
+        named = F.when(reduce(lambda a, b: a | b, usual) | F.endswith(site, F.lit(":")), F.regexp_replace(site, ":[0-9]*$", "")).otherwise(site)
+        path = F.regexp_extract(rest, r"^//[^/?]*([^?]*)", 1)
+        query = F.regexp_extract(rest, r"(?s)^[^?]*\?(.*)$", 1)
+        parameters = F.transform(
+            F.array_sort(
+                F.transform(
+                    F.filter(F.split(_escapes_raised(query), "&", -1), lambda p: p != ""),
+                    lambda p: F.struct(F.substring_index(p, "=", 1).alias("name"), p.alias("whole")),
+                )
+            ),
+            lambda p: p["whole"],
+        )
+        ordered = F.array_join(parameters, "&")
+        whole = F.concat(
+            scheme, F.lit("://"), user, named,
+            F.when(path == "", F.lit("/")).otherwise(_escapes_raised(path)),
+            F.when(ordered == "", F.lit("")).otherwise(F.concat(F.lit("?"), ordered)),
+            fragment,
+        )
+        without_host = F.concat(scheme, F.substring(body, F.length(scheme) + 1, F.length(body)), fragment)
+        return F.when(authority == "", without_host).otherwise(whole)
+
+    # The address is named once, however often it is used.
+    return F.transform(F.array(url), lambda given: F.when(given.isNotNull(), form(given)))[0]
+
+
+def _escapes_raised(text: Column) -> Column:
+    """Percent escapes in upper case."""
+    pieces = F.split(text, "%", -1)
+    raised = F.transform(
+        pieces,
+        lambda piece, at: F.when(
+            (at > 0) & piece.rlike("^[0-9A-Fa-f]{2}"),
+            F.concat(F.upper(F.substring(piece, 1, 2)), F.substring(piece, F.lit(3), F.length(piece))),
+        ).otherwise(piece),
+    )
+    return F.array_join(raised, "%")
+
+
+def has_ending(url: Column, endings: Sequence[str] = FILE_ENDINGS) -> Column:
+    """Whether the path of an address ends like a file of one of the kinds, in any case."""
+    path = F.regexp_extract(url, r"^(?:[^:/?#]+:)?(?://[^/?#]*)?([^?#]*)", 1)
+    return F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1)).isin(*endings)
+
+
 def host(url: Column) -> Column:
     return F.lower(F.try_parse_url(url, F.lit("HOST")))
 
