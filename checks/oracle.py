@@ -64,9 +64,11 @@ def _finance(
     key: str = "doc_id",
     out_key: str = "doc_id",
     extra: str = "",
+    source: str = "documents",
+    before: str = "",
 ) -> str:
     return f"""
-WITH {lexicon}, {_words(text, key)},
+WITH {before} {lexicon}, {_words(text, key, source)},
 scores AS (
   SELECT id, {_sums(lx.FINANCE_FLAGS)},
     CAST(sum(syllables) AS BIGINT) / count(*) AS avg_syllables_per_word,
@@ -77,7 +79,7 @@ SELECT {key} AS {out_key}, {extra} coalesce(word_count, 0) AS word_count, {_shar
   {_stats(text)},
   coalesce(avg_syllables_per_word, 0.0) AS avg_syllables_per_word,
   coalesce(avg_word_length, 0.0) AS avg_word_length, coalesce(vocabulary, 0) AS vocabulary
-FROM documents LEFT JOIN scores ON id = {key} WHERE {where}
+FROM {source} LEFT JOIN scores ON id = {key} WHERE {where}
 """
 
 
@@ -306,6 +308,16 @@ FROM ({_finance()}) f JOIN ({_inquirer()}) i USING (doc_id)""",
         out_key="file_name",
         extra="CAST(length(coalesce(text, '')) AS INT) AS file_size,",
     ),
+    "file_report_stream": "SELECT * EXCLUDE (file) FROM (" + _finance(
+        text=REPORT_TEXT,
+        key="file",
+        out_key="file",
+        extra="CAST(length(text) AS INT) AS file_size,",
+        source="landed",
+        before="""landed AS (
+  SELECT doc_id // 50 AS file, string_agg(coalesce(text, ''), chr(10) ORDER BY doc_id) || chr(10) AS text
+  FROM documents GROUP BY 1),""",
+    ) + ")",
     "text_files": """
 SELECT CAST(sum(length(text) + 1) AS BIGINT) AS n_chars,
   CAST(sum(len(regexp_extract_all(text, '[\\p{L}\\p{N}_]+'))) AS BIGINT) AS n_tokens,
@@ -313,6 +325,10 @@ SELECT CAST(sum(length(text) + 1) AS BIGINT) AS n_chars,
 FROM documents""",
     "lexicon_load": f"WITH {_corpus()}, {TYPED} SELECT * FROM typed",
     "lexicon_documents": f"WITH {_corpus()} SELECT CAST(sum(doc_count + 1) AS BIGINT) AS total_documents FROM corpus",
+    "lexicon_metadata": f"""
+WITH {_corpus()}
+SELECT '{','.join(lx.FINANCE_COLUMNS)}' AS header, '{','.join(lx.FINANCE_CATEGORIES)}' AS categories,
+  '{','.join(lx.STOP_WORDS)}' AS stop_words, CAST(sum(doc_count + 1) AS BIGINT) AS total_documents FROM corpus""",
     "inquirer_load": f"""
 WITH {_corpus()}
 SELECT word, source, {', '.join(f'doc_count % {step} = 0 AS {name}' for step, name in enumerate(lx.INQUIRER_CATEGORIES, start=2))},

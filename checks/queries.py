@@ -14,6 +14,7 @@ from grantlens.operators.score import char_stats, score_documents
 from grantlens.plans import matching, page_load, pages as pg, scoring
 from grantlens.session import new_path, staged, tune
 from grantlens.sources import lexicon as lx, sinks, tables
+from grantlens.streaming import reports
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -177,6 +178,29 @@ def text_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- lexicons -----------------------------------------------------------------
 
 
+def file_report_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts land as files of fifty documents in two parts; three runs report each file once.
+
+    The report is read back from its CSV files; files have names of their own, so it has none.
+    """
+    landed = staged(
+        given.documents(spark, sf_dir)
+        .groupBy(F.floor(F.col("doc_id") / 50).alias("file"))
+        .agg(F.sort_array(F.collect_list(F.struct("doc_id", F.coalesce("text", F.lit("")).alias("text")))).alias("docs"))
+        .select("file", F.array_join("docs.text", "\n").alias("text")),
+        "file-texts",
+    )
+    folder, out, state = (new_path(spark, name) for name in ("files", "file-reports", "file-state"))
+    lexicon = given.finance(spark)
+    for part in (0, 1, None):
+        if part is not None:
+            rows = landed.where(F.col("file") % 2 == part).select("text")
+            rows.write.mode("append").option("maxRecordsPerFile", 1).text(folder)
+        reports.report_new_files(spark, folder, lexicon, out, state)
+    sample = scoring.file_report(spark.createDataFrame([], "path string, text string"), lexicon)
+    return reports.read_reports(spark, out, sample).drop("file_name")
+
+
 def _lexicon_file(spark: SparkSession, sf_dir: str) -> str:
     """The words of the texts as a lexicon file in which every word comes twice."""
     words = staged(given.corpus_words(spark, sf_dir), "corpus-words")
@@ -197,6 +221,17 @@ def lexicon_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lx.total_documents(lines)
 
 
+def lexicon_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header, categories, stop words and document count of a lexicon file."""
+    found = lx.finance_metadata(spark, _lexicon_file(spark, sf_dir))
+    return found.select(
+        "header",
+        F.array_join("categories", ",").alias("categories"),
+        F.array_join("stop_words", ",").alias("stop_words"),
+        "total_documents",
+    )
+
+
 def inquirer_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The words as an inquirer lexicon file, some of its cells filled."""
     words = given.corpus_words(spark, sf_dir)
@@ -484,9 +519,11 @@ QUERIES: dict[str, Query] = {
         incremental_inquirer,
         append_scores,
         file_report,
+        file_report_stream,
         text_files,
         lexicon_load,
         lexicon_documents,
+        lexicon_metadata,
         inquirer_load,
         lexicon_words,
         stop_words,

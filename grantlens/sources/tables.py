@@ -23,7 +23,18 @@ def read_text_files(spark: SparkSession, glob: str) -> DataFrame:
     Bytes that are not UTF-8 are left out.  Files of no bytes at all have no row:
     Spark's file sources skip them.
     """
-    files = spark.read.text(glob, wholetext=True)
+    return _whole_texts(spark.read.text(glob, wholetext=True))
+
+
+def stream_text_files(
+    spark: SparkSession, folder: str, pattern: str = "*.txt", files_per_batch: int = 10_000
+) -> DataFrame:
+    """The files of a folder as a stream with the columns of ``read_text_files``; new files come as new rows."""
+    options = {"wholetext": True, "pathGlobFilter": pattern, "maxFilesPerTrigger": files_per_batch}
+    return _whole_texts(spark.readStream.format("text").options(**options).load(folder))
+
+
+def _whole_texts(files: DataFrame) -> DataFrame:
     marked = F.replace("value", F.lit(_REPLACEMENT), F.lit(_KEPT_MARK))
     repaired = F.replace(F.make_valid_utf8(marked), F.lit(_REPLACEMENT), F.lit(""))
     text = F.replace(repaired, F.lit(_KEPT_MARK), F.lit(_REPLACEMENT))
