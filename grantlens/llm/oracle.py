@@ -38,10 +38,20 @@ SELECT doc_id, n_lines, CASE WHEN goes THEN n_found ELSE 0 END AS n_removed,
 FROM per_doc
 """,
     "op4_preference_format": r"""
-WITH turns AS (
-    SELECT conv_id // 2 AS pair_id, conv_id % 2 AS side, turn,
-        coalesce(role, '') AS role, coalesce(text, '') AS text
+WITH said AS (
+    SELECT CAST(conv_id AS BIGINT) AS pair_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
     FROM conversations
+), answers AS (
+    SELECT pair_id, max(turn) AS last, arg_max(text, turn) AS answer FROM said WHERE role = 'assistant' GROUP BY 1
+), turns AS (
+    SELECT pair_id, 0 AS side, turn, role, text FROM said LEFT JOIN answers USING (pair_id)
+    WHERE last IS NULL OR turn <= last
+    UNION ALL
+    SELECT pair_id, 1, turn, role, text FROM said LEFT JOIN answers USING (pair_id)
+    WHERE last IS NULL OR turn < last
+    UNION ALL
+    SELECT own.pair_id, 1, own.last, 'assistant', next.answer
+    FROM answers own JOIN answers next ON next.pair_id = own.pair_id + 1
 ), firsts AS (
     SELECT pair_id, min(turn) AS first FROM (
         SELECT pair_id, turn FROM turns GROUP BY pair_id, turn

@@ -95,14 +95,59 @@ def preference_pairs(turns: DataFrame, trained_role: str = TRAINED_ROLE) -> Data
     )
 
 
-def neighbours(conversations: DataFrame, conv: str = "conv_id") -> DataFrame:
-    """Turns of conversations as pairs: 2k is the chosen one of pair k, 2k + 1 the rejected one."""
-    return conversations.select(
-        F.floor(F.col(conv) / 2).cast("long").alias("pair_id"),
-        F.when(F.col(conv) % 2 == 0, "chosen").otherwise("rejected").alias("side"),
-        "turn",
-        "role",
-        "text",
+def answer_pairs(
+    conversations: DataFrame, conv: str = "conv_id", role: str = TRAINED_ROLE
+) -> DataFrame:
+    """Turns of every conversation as a pair: its own last answer chosen, that of the next one rejected.
+
+    Both sides share the turns before the last answer; the rejected side then has the last answer of
+    conversation ``conv + 1`` in its place.  Where there is no such answer the rejected side ends with the
+    shared turns; a conversation without an answer is the same on both sides.  Turns after the last answer
+    are no part of a pair, as no answer to them can be chosen.  NULL roles and texts count as empty, rows
+    without a conversation or a turn number are left out, a turn given more than once counts once, with its
+    smallest (role, text).  Gives pair_id (the conversation), side, turn, role and text.
+
+    The answers meet the turns by conversation, so that a third of all turns in one conversation stay rows.
+    """
+    said = F.struct(
+        F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    turns = (
+        conversations.where(F.col(conv).isNotNull() & F.col("turn").isNotNull())
+        .groupBy(F.col(conv).cast("long").alias("pair_id"), "turn")
+        .agg(F.min(said).alias("said"))
+    )
+    answers = turns.where(F.col("said.role") == role).groupBy("pair_id").agg(
+        F.max("turn").alias("last"), F.max_by("said.text", "turn").alias("answer")
+    )
+    # Answers of the next conversation, and where the own last one stands, as one row a conversation.
+    ends = (
+        answers.select("pair_id", "last", F.lit(None).cast("string").alias("other"))
+        .unionByName(
+            answers.select(
+                F.try_subtract("pair_id", F.lit(1).cast("long")).alias("pair_id"),
+                F.lit(None).cast(turns.schema["turn"].dataType).alias("last"),
+                F.col("answer").alias("other"),
+            )
+        )
+        .groupBy("pair_id")
+        .agg(F.max("last").alias("last"), F.max("other").alias("other"))
+    )
+    chosen = F.struct(F.lit("chosen").alias("side"), F.col("said.role").alias("role"), F.col("said.text").alias("text"))
+    own = F.col("last").isNull() | (F.col("turn") < F.col("last"))
+    rejected = F.when(
+        own | F.col("other").isNotNull(),
+        F.struct(
+            F.lit("rejected").alias("side"),
+            F.col("said.role").alias("role"),
+            F.when(own, F.col("said.text")).otherwise(F.col("other")).alias("text"),
+        ),
+    )
+    return (
+        turns.join(ends, "pair_id", "left")
+        .where(own | (F.col("turn") == F.col("last")))
+        .select("pair_id", "turn", F.explode(F.array_compact(F.array(chosen, rejected))).alias("one"))
+        .select("pair_id", "one.side", "turn", "one.role", "one.text")
     )
 
 

@@ -33,7 +33,7 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    turns = preference.neighbours(_table(spark, sf_dir, "conversations"))
+    turns = preference.answer_pairs(_table(spark, sf_dir, "conversations"))
     return preference.pair_digests(preference.preference_pairs(turns))
 
 

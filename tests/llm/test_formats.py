@@ -122,3 +122,33 @@ NAMED = {
 def test_licences_by_version_and_family(make_docs):
     got = {r.doc_id: r.licence for r in licences.licences(make_docs([f"so {t}\nthen more" for t in NAMED])).collect()}
     assert [got.get(i) for i in range(len(NAMED))] == list(NAMED.values())
+
+
+def test_pairs_share_all_but_the_last_answer(spark):
+    rows = [
+        (1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "r"), (1, 3, "assistant", "b"), (1, 4, "user", "bye"),
+        (2, 0, "user", "q"), (2, 1, "assistant", "c"), (2, 1, "assistant", "d"),
+        (3, 0, "user", "alone"), (3, 1, None, None), (5, 0, "assistant", "b"), (6, 0, "assistant", "b"),
+        (None, 0, "user", "x"), (7, None, "user", "x"),
+    ]
+    conversations = spark.createDataFrame(rows, "conv_id int, turn int, role string, text string")
+    wide = conversations.selectExpr("*", "1 AS pair_id", "2 AS side", "3 AS last", "4 AS other")
+    for given in (conversations, wide):
+        pairs = {row.pair_id: row for row in preference.preference_pairs(preference.answer_pairs(given)).collect()}
+        assert set(pairs) == {1, 2, 3, 5, 6}
+        assert [pairs[i].n_common for i in (1, 2, 3, 5, 6)] == [3, 1, 2, 1, 0]
+        assert pairs[1].chosen == "<|im_start|>assistant\nb<|im_end|>\n"
+        assert pairs[1].rejected == "<|im_start|>assistant\nc<|im_end|>\n"
+        assert pairs[2].rejected == "" and pairs[2].chosen_mask and not pairs[2].rejected_mask
+        assert (pairs[3].chosen, pairs[3].rejected, pairs[5].chosen, pairs[5].rejected) == ("", "", "", "")
+        assert pairs[6].chosen == "<|im_start|>assistant\nb<|im_end|>\n"
+    assert preference.answer_pairs(conversations.limit(0)).count() == 0
+
+
+def test_every_pair_of_the_tables_has_a_prompt(spark, small_tables):
+    from grantlens.llm.queries import op4_preference_format
+
+    pairs = op4_preference_format(spark, small_tables).collect()
+    turns = spark.read.parquet(f"{small_tables}/conversations.parquet").where("conv_id is not null")
+    assert len(pairs) == turns.select("conv_id").distinct().count()
+    assert sum(row.n_common > 0 for row in pairs) * 2 > len(pairs)
