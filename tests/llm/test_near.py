@@ -122,6 +122,30 @@ def test_components_of_a_path_and_a_star(spark):
     assert got == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(60)}
 
 
+def test_components_with_hot_ids(spark):
+    """Stars far over the share that makes an id hot, beside drawn links far under it, against union-find."""
+    rng = np.random.default_rng(5)
+    drawn = [tuple(map(int, pair)) for pair in rng.integers(0, 2_500, (1_200, 2))]
+    stars = [(hub, 10_000 + 5_000 * hub + i) for hub in (3, 9, 11) for i in range(1_500)]
+    middle = [(90_000 + int(i), 95_000) for i in rng.permutation(4_000)]
+    root = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    linked = [(a, b) for a, b in drawn + stars + middle if a != b]
+    for a, b in linked:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    links = spark.createDataFrame(drawn + stars + middle, "a long, b long")
+    got = {r.id: r.component for r in connected(links, "test-hot").collect()}
+    assert got == {i: find(i) for pair in linked for i in pair}
+    assert connected(links.limit(0), "test-none").count() == 0
+
+
 def test_leaves_of_long_texts_are_split(spark, monkeypatch):
     """All pairs of a leaf meet once, and no part is much over a block of shingles on a side."""
     monkeypatch.setattr(near, "BLOCK_SHINGLES", 2_000)
