@@ -13,7 +13,7 @@ FROM digests JOIN groups USING (text_sha256)
 """,
     "op7_line_dedup": r"""
 WITH split AS (
-    SELECT doc_id, coalesce(source, '') AS site, coalesce(text, '') AS text,
+    SELECT doc_id, coalesce(source, '') AS site,
         unnest(string_split(coalesce(text, ''), chr(10))) AS line,
         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
     FROM documents
@@ -21,21 +21,22 @@ WITH split AS (
     SELECT *, trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g')) AS trimmed FROM split
 ), counted AS (
     SELECT *, CASE WHEN trimmed = '' THEN 0 ELSE len(string_split(trimmed, ' ')) END AS n_words FROM lines
-), shared AS (
-    SELECT trimmed FROM counted WHERE n_words >= 4 GROUP BY 1 HAVING count(DISTINCT site) >= 8
+), spread AS (
+    SELECT trimmed FROM counted WHERE n_words > 0 GROUP BY trimmed, n_words
+    HAVING count(DISTINCT site) >= CASE WHEN n_words < 4 THEN 16 ELSE 8 END
+), hosts AS (
+    SELECT doc_id FROM counted LEFT JOIN spread USING (trimmed) GROUP BY doc_id
+    HAVING 100 * coalesce(sum(n_words) FILTER (spread.trimmed IS NOT NULL), 0) <= 50 * sum(n_words)
+), boilerplate AS (
+    SELECT trimmed FROM counted SEMI JOIN hosts USING (doc_id) SEMI JOIN spread USING (trimmed)
+    GROUP BY trimmed, n_words HAVING count(DISTINCT site) >= CASE WHEN n_words < 4 THEN 16 ELSE 8 END
 ), marked AS (
-    SELECT counted.*, shared.trimmed IS NOT NULL AS found
-    FROM counted LEFT JOIN shared USING (trimmed)
-), per_doc AS (
-    SELECT doc_id, any_value(text) AS text, count(*) AS n_lines,
-        count(*) FILTER (found) AS n_found,
-        coalesce(sum(n_words) FILTER (found), 0) * 100 <= 50 * sum(n_words) AS goes,
-        coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT found), '') AS rest
-    FROM marked GROUP BY doc_id
+    SELECT counted.*, boilerplate.trimmed IS NOT NULL AS found
+    FROM counted LEFT JOIN boilerplate USING (trimmed)
 )
-SELECT doc_id, n_lines, CASE WHEN goes THEN n_found ELSE 0 END AS n_removed,
-    sha256(CASE WHEN goes THEN rest ELSE text END) AS text_sha256
-FROM per_doc
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (found) AS n_removed,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT found), '')) AS text_sha256
+FROM marked GROUP BY doc_id
 """,
     "op4_preference_format": r"""
 WITH said AS (

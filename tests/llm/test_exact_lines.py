@@ -49,21 +49,31 @@ def test_frequent_keys_are_few_and_complete(spark):
 
 
 def brute_lines(rows, sites):
+    """Texts in the order of the rows, by plain loops."""
     trim = lambda line: re.sub(r"[\x20\x09-\x0D]+", " ", line).strip(" ")
-    spread = defaultdict(set)
-    for _, text, site in rows:
-        for line in (text or "").split("\n"):
-            if len(trim(line).split(" ")) >= 4 and trim(line):
-                spread[trim(line)].add(site or "")
-    shared = {line for line, where in spread.items() if len(where) >= sites}
-    out = {}
-    for i, text, _ in rows:
-        own = (text or "").split("\n")
-        words = lambda ls: sum(len(trim(x).split(" ")) for x in ls if trim(x))
-        gone = [line for line in own if trim(line) in shared]
-        goes = bool(gone) and 100 * words(gone) <= 50 * words(own)
-        out[i] = "\n".join(x for x in own if trim(x) not in shared) if goes else text
-    return out
+    size = lambda line: len(trim(line).split(" ")) if trim(line) else 0
+    parts = [(text or "").split("\n") for _, text, _ in rows]
+
+    def on_many_sites(which):
+        spread = defaultdict(set)
+        for i in which:
+            for line in filter(size, parts[i]):
+                spread[trim(line)].add(rows[i][2] or "")
+        return {
+            line for line, where in spread.items() if len(where) >= sites * (2 if size(line) < 4 else 1)
+        }
+
+    spread = on_many_sites(range(len(rows)))
+    words = lambda ls: sum(map(size, ls))
+    hosts = [
+        i for i, own in enumerate(parts)
+        if 100 * words(x for x in own if trim(x) in spread) <= 50 * words(own)
+    ]
+    gone = spread & on_many_sites(hosts)
+    return [
+        text if text is None else "\n".join(x for x in own if trim(x) not in gone)
+        for (_, text, _), own in zip(rows, parts)
+    ]
 
 
 @pytest.mark.parametrize("sites", [3, 30])
@@ -77,7 +87,23 @@ def test_shared_lines(spark, sites):
     rows += [(1000 + i, "this line is on many sites", f"s{i}") for i in range(40)] + [(2000, None, "s1")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r.doc_id: r.text for r in lines.clean_lines(docs, sites=sites).collect()}
-    assert got == brute_lines(rows, sites)
+    assert [got[i] for i, _, _ in rows] == brute_lines(rows, sites)
+    # Whatever its share of a document, as soon as others hold it among text of their own.
+    assert got[1000] == "" and all("many sites" not in (text or "") for text in got.values())
+
+
+def test_copies_keep_their_lines_and_short_lines_need_more_sites(spark):
+    copied = "\n".join(f"line {j} of a text that many copied" for j in range(6))
+    rows = [(i, f"{copied}\nand {i}", f"s{i}") for i in range(20)]
+    rows += [(100 + i, f"own words of page {i} are here\nRead more\nAll rights", f"s{i}") for i in range(5)]
+    rows += [(200 + i, f"other words of page {i} are here\nRead more", f"s{50 + i}") for i in range(3)]
+    # Rows without an id and rows that repeat one go by their own texts.
+    rows += [(None, "a page without any id at all\nRead more", "s90"), (100, "a second text with this id\nRead more", "s91")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = sorted(r.text for r in lines.clean_lines(docs, sites=5).collect())
+    assert got == sorted(brute_lines(rows, 5))
+    assert sum(text.startswith(copied) for text in got) == 20
+    assert not any("Read more" in text for text in got) and sum("All rights" in text for text in got) == 5
 
 
 def test_odd_lines(odd_docs, no_docs):
