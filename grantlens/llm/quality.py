@@ -1,16 +1,22 @@
 """Quality rules whose cutoffs are certified on labelled documents.
 
-Every text gets a few counts, and from them one value per rule: the larger, the
-worse.  A rule rejects documents whose value reaches its cutoff.  Cutoffs are not
-set by hand.  For each stratum (a language) and rule, a fixed grid of cutoffs is
-tried from the mildest to the strictest on documents labelled good: the exact
-binomial tail says whether so few rejections of good documents would be likely if
-the true share were ``MAX_FALSE`` or more.  A cutoff is certified while that tail
-stays under the error level.  Within a rule, testing in this order needs no
-correction; over rules and strata the level is divided by their number, so all
-guarantees hold together with probability ``1 - ERROR``.  Of the certified cutoffs
-the one that parts bad from good documents best is taken; a rule that parts nothing,
-or a stratum with too few labels to certify anything, gets no cutoff.
+Every text gets a few counts, and from them one level per rule: the larger, the
+worse.  Cutoffs are not set by hand.  For each stratum (a language):
+
+1. Documents without a label say how rare a level is: the share of them that reach it.  Rejecting
+   documents with a level that ``q`` or fewer reach, by any rule, gives one nested path of
+   rejections as ``q`` grows from 0.001 to 0.1 in steps of 0.001.  No label is used for it.
+2. Along the path, documents labelled good are tested: the exact binomial tail says whether so
+   few rejections of them would be likely if the true share were ``MAX_FALSE`` or more.  A
+   step is certified while that tail stays under the error level.  Steps are tested in order, which
+   needs no correction; over strata the level is divided by their number, so all guarantees
+   hold together with probability ``1 - ERROR``.
+3. The last certified step gives the strictest cutoff of every rule.  Milder ones reject part of the
+   same documents, so the guarantee covers them too: each rule takes the one that parts bad
+   from good documents best, and a rule that parts nothing gets none.
+
+A stratum needs about 220 good labels if there are four of them; with fewer, nothing is certified,
+and neither is anything where all documents have labels.
 
 Everything is made of Spark's own expressions.
 """
@@ -34,6 +40,9 @@ ERROR = 0.05
 # A rejected good document counts as so many rejected bad ones when cutoffs are compared.
 GOOD_WEIGHT = 10.0
 LEVELS = 100
+# Steps of the path, and steps in a whole.
+STEPS = 100
+STEPS_OF_ONE = 1000
 # Rule -> value per level.  A value of the last level or more counts as the last.
 RULES = {
     "symbols": 0.01,
@@ -188,52 +197,83 @@ def certified_cutoffs(
     error: float = ERROR,
     id: str = "doc_id",
 ) -> DataFrame:
-    """(stratum, rule, cutoff): the strictest useful levels that the labels certify.
+    """(stratum, rule, cutoff): the useful levels that the labels certify.
 
-    ``labels`` has the id and ``quality``, 1 for good and 0 for bad; other values and
-    NULL are left out, and so are documents that fail the base rules.  All labelled
-    documents count.  The result has at most one row per stratum and rule, and
-    none for a stratum with too few good documents to certify anything.
+    ``labels`` has the id and ``quality``, 1 for good and 0 for bad; documents with other values and
+    NULL are left out, and so are documents that fail the base rules.  All other labelled
+    documents are tested, and all documents that no label names make the path.  The
+    result has at most one row per stratum and rule, and none for a stratum with too few
+    good documents to certify anything.
     """
     known = labels.where(F.col("quality").isin(0, 1)).select(
         F.col(id).alias("doc_id"), F.col("quality").cast("int").alias("_good")
     )
-    labelled = (
-        counts.where(~base_failed())
-        .select("doc_id", "stratum", levels().alias("levels"))
-        .join(known, "doc_id")
+    passed = counts.where(~base_failed()).select("doc_id", "stratum", levels().alias("levels"))
+    by_levels = F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.sum("free").alias("free")
+    labelled = passed.join(known, "doc_id").select(
+        "stratum", "levels", F.col("_good").alias("good"), (1 - F.col("_good")).alias("bad"), F.lit(0).alias("free")
     )
+    named = labels.select(F.col(id).alias("doc_id")).distinct()
+    free = lookup_join(passed, named, "doc_id", "left_anti").select(
+        "stratum", "levels", F.lit(0).alias("good"), F.lit(0).alias("bad"), F.lit(1).alias("free")
+    )
+    folded = staged(labelled.unionByName(free).groupBy("stratum", "levels").agg(*by_levels), "levels")
     stacked = F.array(
         *[F.struct(F.lit(rule).alias("rule"), F.col(f"levels.{rule}").alias("level")) for rule in RULES]
     )
-    # At most strata x rules x levels rows from here on.
-    histogram = (
-        labelled.groupBy("stratum", "levels")
-        .agg(F.sum("_good").alias("good"), F.sum(1 - F.col("_good")).alias("bad"))
-        .select("stratum", F.explode(stacked).alias("at"), "good", "bad")
-        .groupBy("stratum", "at.rule", "at.level")
-        .agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-    )
+    # At most strata x rules x levels rows.
     rule = Window.partitionBy("stratum", "rule")
     reached = rule.orderBy(F.desc("level")).rowsBetween(Window.unboundedPreceding, 0)
-    tried = histogram.select(
-        "*",
-        F.sum("good").over(reached).alias("k"),
-        F.sum("bad").over(reached).alias("k_bad"),
-        F.sum("good").over(rule).alias("n"),
-        F.sum("bad").over(rule).alias("n_bad"),
-    ).where("level > 0")
-    strata = histogram.agg(F.count_distinct("stratum").alias("strata"))
-    share = F.lit(max_false / len(RULES))
-    tail = binomial_tail(F.col("k"), F.col("n"), share)
-    passed = (
-        tried.crossJoin(F.broadcast(strata))  # one row
-        .where((F.col("k") < F.col("n") * share) & (F.col("k_bad") > 0))
-        .where(tail <= F.lit(error / len(RULES)) / F.col("strata"))
+    rarity = F.expr(f"({STEPS_OF_ONE} * free_reached + n_free - 1) DIV n_free")
+    steps = staged(
+        folded.select("stratum", F.explode(stacked).alias("at"), "good", "bad", "free")
+        .groupBy("stratum", "at.rule", "at.level")
+        .agg(*by_levels)
+        .select(
+            "stratum",
+            "rule",
+            "level",
+            *[F.sum(name).over(reached).alias(f"{name}_reached") for name in ("good", "bad", "free")],
+            *[F.sum(name).over(rule).alias(f"n_{name}") for name in ("good", "bad", "free")],
+        )
+        .where((F.col("level") > 0) & (F.col("n_free") > 0))
+        .withColumn("step", F.greatest(F.lit(1).cast("long"), rarity)),
+        "steps",
+    )
+    # A document is rejected from the first step on that rejects any of its levels.
+    along = Window.partitionBy("stratum").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    rejected = (
+        folded.where(F.col("good") + F.col("bad") > 0)
+        .select("stratum", "levels", "good", F.explode(stacked).alias("at"))
+        .select("stratum", "levels", "good", "at.*")
+        .join(steps.select("stratum", "rule", "level", "step"), ["stratum", "rule", "level"])
+        .groupBy("stratum", "levels")
+        .agg(F.min("step").alias("step"), F.first("good").alias("good"))
+        .where(F.col("step") <= STEPS)
+        .groupBy("stratum", "step")
+        .agg(F.sum("good").alias("good"))
+        .select("stratum", "step", F.sum("good").over(along).alias("k"))
+    )
+    per_stratum = (
+        folded.groupBy("stratum")
+        .agg(F.sum("good").alias("n"), F.sum(F.col("good") + F.col("bad")).alias("known"))
+        .where("known > 0")
+        # One row per stratum.
+        .withColumn("strata", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
+    )
+    share = F.lit(max_false)
+    certified = (
+        rejected.join(per_stratum, "stratum")
+        .where(F.col("k") < F.col("n") * share)
+        .where(binomial_tail(F.col("k"), F.col("n"), share) <= F.lit(error) / F.col("strata"))
+        .groupBy("stratum")
+        .agg(F.max("step").alias("last"))
     )
-    gain = F.col("k_bad") / F.col("n_bad") - GOOD_WEIGHT * F.col("k") / F.col("n")
+    gain = F.try_divide("bad_reached", "n_bad") - GOOD_WEIGHT * F.try_divide("good_reached", "n_good")
     return (
-        passed.withColumn("gain", gain)
+        steps.join(certified, "stratum")
+        .where(F.col("step") <= F.col("last"))
+        .withColumn("gain", gain)
         .where("gain > 0")
         .groupBy("stratum", "rule")
         .agg(F.max_by("level", F.struct("gain", "level")).alias("cutoff"))

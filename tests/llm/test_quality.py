@@ -1,5 +1,6 @@
 """Counts against plain loops, bounds against exact fractions, cutoffs against a plain search."""
 
+import random
 import re
 from collections import defaultdict
 from fractions import Fraction
@@ -107,6 +108,70 @@ def test_a_certified_share_holds(spark):
     assert lost <= quality.MAX_FALSE * 3950
 
 
+def plain_cutoffs(rows, labels, max_false, error):
+    """The same path and the same choice, by loops over (id, stratum, level per rule)."""
+    named = {i for i, _ in labels}
+    found = {}
+    known = [(st, lv, q) for i, st, lv in rows for j, q in labels if i == j and q in (0, 1)]
+    strata = {st for st, _, _ in known}
+    for stratum in strata:
+        free = [lv for i, st, lv in rows if st == stratum and i not in named]
+        good = [lv for st, lv, q in known if st == stratum and q == 1]
+        bad = [lv for st, lv, q in known if st == stratum and q == 0]
+        if not free:
+            continue
+
+        def rare(rule, level, step):
+            return level > 0 and 1000 * sum(lv[rule] >= level for lv in free) <= step * len(free)
+
+        last = 0
+        for step in range(1, 101):
+            k = sum(any(rare(rule, lv[rule], step) for rule in lv) for lv in good)
+            share, n = Fraction(str(max_false)), len(good)
+            tail = sum(comb(n, i) * share**i * (1 - share) ** (n - i) for i in range(k + 1))
+            if k >= n * share or tail > Fraction(str(error)) / len(strata):
+                break
+            last = step
+        for rule in quality.RULES:
+            best = (0, 0)
+            for level in {lv[rule] for lv in good + bad + free}:
+                if last and bad and rare(rule, level, last):
+                    gain = sum(lv[rule] >= level for lv in bad) / len(bad)
+                    gain -= quality.GOOD_WEIGHT * sum(lv[rule] >= level for lv in good) / len(good)
+                    best = max(best, (round(gain, 12), level))
+            if best[0] > 0:
+                found[stratum, rule] = best[1]
+    return found
+
+
+def test_path_against_a_plain_search(spark):
+    draw = random.Random(5)
+    rows, labels, counted = [], [], []
+    for i in range(1600):
+        stratum, bad = ("a", "b", "c")[i % 3 if i < 1500 else 2], draw.random() < 0.3
+        level = lambda top: draw.randrange(1, top) if draw.random() < (0.4 if bad else 0.01) else 0
+        symbols, capitals, copied = level(60), level(30), level(20)
+        n = 1000
+        rows.append((i, stratum, {
+            "symbols": symbols, "repeats": 0, "copied_lines": copied,
+            "capitals": capitals, "exclaims": 0, "long_words": 20,
+        }))
+        # Counts in the middle of a level.
+        counted.append((i, stratum, n, 0, n, 10 * copied + 5 if copied else 0, 5 * n, 50 * symbols + 25, 0, 50 * capitals + 25))
+        if draw.random() < (0.8 if stratum != "c" else 0.05):
+            labels.append((i, draw.choice((0, 1, 2)) if draw.random() < 0.02 else int(not bad)))
+    names = "doc_id long, stratum string, n_words long, n_repeat_words long, n_lines long, n_dup_lines long, "
+    counts = spark.createDataFrame(
+        counted, names + "word_chars long, n_symbols long, n_exclaims long, n_capitals long"
+    ).repartition(5)
+    labelled = spark.createDataFrame(labels + [(None, 1)], "doc_id long, quality int")
+    for max_false in (0.02, 0.05, 0.2):
+        got = quality.certified_cutoffs(counts, labelled, max_false=max_false).collect()
+        expected = plain_cutoffs(rows, labels, max_false, quality.ERROR)
+        assert {(r.stratum, r.rule): r.cutoff for r in got} == expected
+        assert max_false < 0.05 or expected
+
+
 def test_odd_rows(odd_docs, no_docs, spark):
     labels = spark.createDataFrame(
         [(1, 1), (1, 0), (2, None), (None, 1), (99, 1)], "doc_id long, quality int"
