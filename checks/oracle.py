@@ -361,6 +361,8 @@ SELECT key, organization FROM keys, owners
 WHERE key <> '' AND starts_with(lower(organization), lower(key))""",
     "yearly_grants": _yearly(GRANTS),
     "yearly_applications": _yearly(APPLICATIONS),
+    "bucketed_grants": _yearly(GRANTS),
+    "bucketed_applications": _yearly(APPLICATIONS),
     "participant_grants": REPORTS["participants", "grants"],
     "participant_applications": REPORTS["participants", "applications"],
     "leader_grants": REPORTS["leaders", "grants"],

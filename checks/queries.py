@@ -14,6 +14,7 @@ from grantlens.operators.score import char_stats, score_documents
 from grantlens.plans import matching, page_load, pages as pg, scoring
 from grantlens.session import new_path, staged, tune
 from grantlens.sources import lexicon as lx, sinks, tables
+from grantlens.sources.bucketed import bucketed_counts, write_patents
 from grantlens.streaming import reports
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -314,6 +315,16 @@ def yearly_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.ordered_counts(matching.yearly_counts(given.applications(spark, sf_dir)))
 
 
+def bucketed_grants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = write_patents(given.grants(spark, sf_dir), "grant_patents")
+    return matching.ordered_counts(bucketed_counts(spark, written))
+
+
+def bucketed_applications(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = write_patents(given.applications(spark, sf_dir), "application_patents")
+    return matching.ordered_counts(bucketed_counts(spark, written))
+
+
 def participant_grants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.match_report(
         _participant_members(spark, sf_dir), given.grants(spark, sf_dir)
@@ -534,6 +545,8 @@ QUERIES: dict[str, Query] = {
         prefix_match,
         yearly_grants,
         yearly_applications,
+        bucketed_grants,
+        bucketed_applications,
         participant_grants,
         participant_applications,
         leader_grants,

@@ -18,6 +18,7 @@ from grantlens.operators.groups import group_ids
 from grantlens.operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
 from grantlens.operators.prefix import prefix_join
 from grantlens.session import staged
+from grantlens.sources.bucketed import BucketedPatents, bucketed_counts
 
 # ---- fixed values -----------------------------------------------------------
 EXCLUDED_TYPES = ("Patient organisations",)
@@ -152,16 +153,22 @@ def match_report(
     patents: Patents,
     forms: Sequence[str] = nm.COMPANY_FORMS,
     max_bytes: int = BROADCAST_BYTES,
+    written: BucketedPatents | None = None,
 ) -> DataFrame:
     """(gans, participant_name, organization, year, count), one row per grant of a
     matched name, organisation and year.
 
     The matched pairs are kept in the shared folder, as they are measured and
-    read twice.  Grants join as rows, never as one list per name.
+    read twice.  Grants join as rows, never as one list per name.  Where the patents are
+    ``written`` in buckets, counts come from there.
     """
     owners = patents.owners.select("organization").where(F.col("organization").isNotNull())
     hits = staged(name_matches(members, owners, forms, max_bytes), "name-matches")
-    counts = yearly_counts(patents, hits.select("organization").distinct(), max_bytes)
+    organizations = hits.select("organization").distinct()
+    if written is None:
+        counts = yearly_counts(patents, organizations, max_bytes)
+    else:
+        counts = bucketed_counts(members.sparkSession, written, organizations)
     # Both joins are left to the adaptive plan, which knows the sizes by then and
     # splits the partition of a name with very many grants.
     dated = hits.join(counts, "organization")
