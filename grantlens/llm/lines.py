@@ -34,6 +34,11 @@ LG_K = 8
 NEAR = 5 * 1.04 / 2 ** (LG_K / 2)
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)``, with the value computed one time however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _split(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
@@ -55,21 +60,33 @@ def _body(text: Column) -> Column:
 
 def line_rows(docs: DataFrame, id: str, text: str, site: str) -> DataFrame:
     """(doc_id, body, pos, line, site, n_words, doc_words) of lines with a word; hashes for texts."""
-    lines = docs.select(
+    parts = F.transform(
+        _split(F.col("text")),
+        lambda part: _once(
+            _trimmed(part),
+            lambda line: F.struct(
+                F.xxhash64(line).alias("line"), _words(line).cast("int").alias("n_words")
+            ),
+        ),
+    )
+    # Words of the document are counted inside the generator; beside it they would be counted
+    # again for every line.
+    lines = _once(
+        parts,
+        lambda all: _once(
+            F.aggregate(all, F.lit(0).cast("long"), lambda n, at: n + at["n_words"]),
+            lambda n: F.transform(all, lambda at: F.struct(at.alias("at"), n.alias("doc_words"))),
+        ),
+    )
+    exploded = docs.select(
         F.col(id).alias("doc_id"),
         _body(F.col(text)).alias("body"),
         F.xxhash64(F.coalesce(F.col(site).cast("string"), F.lit(""))).alias("site"),
-        F.transform(_split(F.col(text)), _trimmed).alias("lines"),
-    )
-    doc_words = F.aggregate(
-        "lines", F.lit(0).cast("long"), lambda n, line: n + _words(line).cast("long")
-    )
-    counted = lines.select(
-        "doc_id", "body", "site", doc_words.alias("doc_words"), F.posexplode("lines").alias("pos", "line")
-    ).withColumn("n_words", _words(F.col("line")).cast("int"))
-    return counted.where(F.col("n_words") > 0).select(
-        "doc_id", "body", "pos", F.xxhash64("line").alias("line"), "site", "n_words", "doc_words"
-    )
+        F.col(text).alias("text"),
+    ).select("doc_id", "body", "site", F.posexplode(lines).alias("pos", "found"))
+    return exploded.select(
+        "doc_id", "body", "pos", "found.at.line", "site", "found.at.n_words", "found.doc_words"
+    ).where("n_words > 0")
 
 
 def widespread(rows: DataFrame, sites: int = SITES) -> DataFrame:
