@@ -48,7 +48,7 @@ def test_frequent_keys_are_few_and_complete(spark):
     assert -1 in found and len(found) <= 2 * exact.HEAVY_KEYS
 
 
-def brute_lines(rows, sites):
+def brute_texts(rows, sites):
     """Texts in the order of the rows, by plain loops."""
     trim = lambda line: re.sub(r"[\x20\x09-\x0D]+", " ", line).strip(" ")
     size = lambda line: len(trim(line).split(" ")) if trim(line) else 0
@@ -76,6 +76,11 @@ def brute_lines(rows, sites):
     ]
 
 
+def brute_lines(rows, sites):
+    """Texts by id."""
+    return {i: text for (i, _, _), text in zip(rows, brute_texts(rows, sites))}
+
+
 @pytest.mark.parametrize("sites", [3, 30])
 def test_shared_lines(spark, sites):
     rows = []
@@ -87,7 +92,7 @@ def test_shared_lines(spark, sites):
     rows += [(1000 + i, "this line is on many sites", f"s{i}") for i in range(40)] + [(2000, None, "s1")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     got = {r.doc_id: r.text for r in lines.clean_lines(docs, sites=sites).collect()}
-    assert [got[i] for i, _, _ in rows] == brute_lines(rows, sites)
+    assert got == brute_lines(rows, sites)
     # Whatever its share of a document, as soon as others hold it among text of their own.
     assert got[1000] == "" and all("many sites" not in (text or "") for text in got.values())
 
@@ -101,7 +106,7 @@ def test_copies_keep_their_lines_and_short_lines_need_more_sites(spark):
     rows += [(None, "a page without any id at all\nRead more", "s90"), (100, "a second text with this id\nRead more", "s91")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
     got = sorted(r.text for r in lines.clean_lines(docs, sites=5).collect())
-    assert got == sorted(brute_lines(rows, 5))
+    assert got == sorted(brute_texts(rows, 5))
     assert sum(text.startswith(copied) for text in got) == 20
     assert not any("Read more" in text for text in got) and sum("All rights" in text for text in got) == 5
 
