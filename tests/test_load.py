@@ -78,3 +78,25 @@ def test_a_hot_key_is_one_row_before_the_shuffle(spark):
     assert first.count() == 10_001
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert "partial_min" in plan and "Window" not in plan
+
+
+def test_whole_rows_are_not_sorted_for_the_first_of_a_key(spark):
+    batch = spark.range(1000).selectExpr("id % 300 AS k", "id AS at", "array(cast(id AS string)) AS w")
+    plan = load.first_per_key(batch, "k", ["at"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "shuffle_hash" in plan
+    # Whole rows are compared among those of one key and place only.
+    wide = [line for line in plan.splitlines() if "Aggregate [" in line and "w#" in line]
+    assert wide and all("Aggregate [k#" in line and ", at#" in line.partition("]")[0] for line in wide)
+
+
+
+def test_rows_tied_for_first_are_told_apart_by_the_others(spark):
+    batch = spark.createDataFrame(
+        [(1, None, "b", ["x"]), (1, None, "a", ["y"]), (1, 0, "0", None), (None, 2, "n", None), (None, 2, None, ["z"]), (2, 1, "s", None)],
+        "k int, at int, v string, w array<string>",
+    )
+    assert rows(load.first_per_key(batch, "k", ["at"])) == rows(
+        spark.createDataFrame([(1, None, "a", ["y"]), (None, 2, None, ["z"]), (2, 1, "s", None)], batch.schema)
+    )
+    new = load.insert_if_absent(batch, spark.createDataFrame([(2,)], "k int"), "k", ["at"])
+    assert rows(new) == [(1, None, "a", ["y"])]
