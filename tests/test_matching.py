@@ -109,3 +109,19 @@ def test_no_match_is_an_empty_report(spark, participants, patents):
     assert report.count() == 0
     both = matching.all_reports({("participants", "grants"): report, ("leaders", "grants"): report})
     assert both.columns[:2] == ["source_type", "data_type"]
+
+
+def test_a_report_written_three_times_is_counted_once(spark, small_tables, monkeypatch):
+    from checks import queries
+
+    plans = []
+    for name in ("export_csv", "replace_table"):
+        write = getattr(queries.sinks, name)
+
+        def seen(df, path, write=write):
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+            write(df, path)
+
+        monkeypatch.setattr(queries.sinks, name, seen)
+    assert queries.export_roundtrip(spark, small_tables).count() > 0
+    assert len(plans) == 3 and not any("Aggregate" in plan or "Join" in plan for plan in plans)
