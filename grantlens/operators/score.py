@@ -17,6 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from grantlens.functions import text as tx
+from grantlens.operators.groups import split_repeated
 from grantlens.operators.joins import (
     BROADCAST_BYTES,
     fits_broadcast,
@@ -95,9 +96,9 @@ def score_documents(
         times = None
     else:
         # A lexicon too large to send around: count each word per document
-        # first, then join on the word with frequent words spread out.  A row is then
+        # first, in place, then join on the word with frequent words spread out.  A row is then
         # one word of a document, and its vocabulary a plain count.
-        counted = words.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
+        counted = _counted_words(measured, keys, id_col, text_col)
         hits = salted_join_folded(counted, lexicon, "word", "left", hot_keys(words, "word"))
         times = F.col("n")
 
@@ -108,6 +109,22 @@ def score_documents(
     )
 
 
+def _counted_words(
+    measured: DataFrame, keys: Sequence[str], id_col: str, text_col: str
+) -> DataFrame:
+    """(keys, word, n): words of a document counted where its text is read; only texts that share an id are
+    counted together by a shuffle.  A text without words has one row, its word NULL."""
+    alone, others = split_repeated(measured, id_col)
+    in_place = alone.select(*keys, F.inline_outer(tx.counted_words(F.col(text_col))))
+    together = (
+        others.select(*keys, F.explode_outer(tx.tokens(F.col(text_col))).alias("word"))
+        .withColumn("word", F.upper("word"))
+        .groupBy(*keys, "word")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return in_place.unionByName(together)
+
+
 def _sums(lexicon: Lexicon, times: Column | None) -> list[Column]:
     """Counts of one document; ``times`` is how often a row's word occurs, if not once."""
     columns = []

@@ -188,3 +188,27 @@ def test_sql_tables_are_read_in_ranges():
     options = sql_options("jdbc:x", "grants", "patent", "id", (1, 900), 30)
     assert options["dbtable"] == "grants.patent"
     assert options["partitionColumn"] == "id" and options["numPartitions"] == "30"
+
+
+def test_words_are_counted_where_a_text_is_read(spark, tmp_path):
+    from grantlens.functions import text as tx
+    from grantlens.operators.groups import split_repeated
+    from grantlens.operators.score import _counted_words
+
+    texts = [(1, "a A b ß ss"), (2, ""), (3, None), (4, "of the of"), (4, "of the of"), (4, "x"), (None, "of"), (None, "of")]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(texts, "doc_id int, text string").write.parquet(path)
+    docs = spark.read.parquet(path)
+    alone, others = split_repeated(docs, "doc_id")
+    assert sorted(row.doc_id for row in alone.collect()) == [1, 2, 3] and others.count() == 5
+    assert split_repeated(docs, "doc_id", max_bytes=-1)[1].count() == len(texts)
+    counted = _counted_words(docs, ["doc_id"], "doc_id", "text")
+    together = (
+        docs.select("doc_id", F.explode_outer(tx.tokens(F.col("text"))).alias("word"))
+        .groupBy("doc_id", F.upper("word").alias("word"))
+        .agg(F.when(F.col("word").isNotNull(), F.count(F.lit(1))).alias("n"))
+    )
+    assert sorted(map(str, counted.collect())) == sorted(map(str, together.collect()))
+    # Only texts that share an id are counted over a shuffle.
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1 and "sort_array" in plan
