@@ -3,7 +3,7 @@
 One pass over the texts serves any number of lexicons:
 
     texts -> words (explode) -> broadcast join with the merged lexicon
-          -> one aggregate per document
+          -> listed words only -> one aggregate per document
 
 Words of a document sit together in one task, so the partial aggregate leaves
 one row per document for the only shuffle.
@@ -83,21 +83,21 @@ def score_documents(
         id_col, *keep, *[column.alias(name) for name, column in stats.items()], text_col
     )
     keys = [id_col, *keep, *stats]
-    words = measured.select(
-        *keys, F.explode_outer(tx.tokens(F.col(text_col))).alias("word")
-    ).withColumn("word", F.upper("word"))
-
     # Written once: it is measured, then joined.
     lexicon = staged(merged_words(lexicons), "merged-words")
     if fits_broadcast(lexicon, max_bytes):
         # Ids are only compared within this join, so any unique number will do.
         numbered = lexicon.withColumn("word_id", F.monotonically_increasing_id())
-        hits = words.join(F.broadcast(numbered), "word", "left")
+        # Words not listed go before the aggregate; a row without a word keeps each document.
+        hits = _ended_words(measured, keys, text_col).join(F.broadcast(numbered), "word", "left")
+        hits = hits.where("word IS NULL OR word_id IS NOT NULL")
         times = None
     else:
         # A lexicon too large to send around: count each word per document
         # first, in place, then join on the word with frequent words spread out.  A row is then
         # one word of a document, and its vocabulary a plain count.
+        words = measured.select(F.explode_outer(tx.tokens(F.col(text_col))).alias("word"))
+        words = words.withColumn("word", F.upper("word"))
         counted = _counted_words(measured, keys, id_col, text_col)
         hits = salted_join_folded(counted, lexicon, "word", "left", hot_keys(words, "word"))
         times = F.col("n")
@@ -109,6 +109,12 @@ def score_documents(
     )
 
 
+def _ended_words(measured: DataFrame, keys: Sequence[str], text_col: str) -> DataFrame:
+    """(keys, word): the words of a document as they come, and one NULL after the last."""
+    ended = F.concat(tx.tokens(F.col(text_col)), F.array(F.lit(None).cast("string")))
+    return measured.select(*keys, F.explode(ended).alias("word")).withColumn("word", F.upper("word"))
+
+
 def _counted_words(
     measured: DataFrame, keys: Sequence[str], id_col: str, text_col: str
 ) -> DataFrame:

@@ -63,3 +63,20 @@ def test_a_batch_run_again_replaces_itself(spark, places):
     write(files.where("path like '%a.txt'"), 1)
     sample = scoring.file_report(files, lexicon)
     assert sample.columns == NAMES and reports.read_reports(spark, out, sample).count() == 3
+
+
+def test_files_named_by_a_batch_are_listed_together(spark, tmp_path):
+    """A batch names its files; listing them is no task for each of them."""
+    paths = []
+    for i in range(150):
+        (tmp_path / f"{i}.txt").write_text("word")
+        paths.append(str(tmp_path / f"{i}.txt"))
+    context = spark.sparkContext
+    context.setJobGroup("listing of names", "")
+    try:
+        assert spark.read.text(paths, wholetext=True).count() == 150
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("listing of names") for s in tracker.getJobInfo(job).stageIds]
+    assert max(tracker.getStageInfo(stage).numTasks for stage in stages if tracker.getStageInfo(stage)) <= 64

@@ -214,3 +214,18 @@ def test_words_are_counted_where_a_text_is_read(spark, tmp_path):
     # Only texts that share an id are counted over a shuffle.
     plan = counted._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate [") == 1 and "sort_array" in plan
+
+
+def test_unlisted_words_go_before_the_aggregate(spark, capsys):
+    """Only listed words reach the aggregate, and no document is lost: not one without words, nor one without an id."""
+    lexicon = inputs.finance(spark)
+    rows = [(1, "the of the xyz 12"), (1, "the of the xyz 12"), (2, "xyz qqq"), (3, ""), (4, None), (5, " .,"), (None, "of the"), (6, "Erth 2009 2011 A")]
+    docs = spark.createDataFrame(rows, "id long, text string")
+    scored = score_documents(docs, [lexicon], "id")
+    got = sorted((str(r.id), r.finance.word_count, r.finance.vocabulary) for r in scored.collect())
+    assert got == [("1", 6, 2), ("2", 0, 0), ("3", 0, 0), ("4", 0, 0), ("5", 0, 0), ("6", 1, 1), ("None", 2, 2)]
+    scored.explain()
+    plan = capsys.readouterr().out
+    assert plan.index("ObjectHashAggregate") < plan.index("Filter (isnull(word") < plan.index("BroadcastHashJoin")
+    # Characters are counted without a string for each of them.
+    assert "[^A-Z]+" in plan and "[A-Z], 0)" not in plan

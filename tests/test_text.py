@@ -112,3 +112,9 @@ def test_entities_as_the_standard_library_resolves_them(spark, texts):
     for row in rows.select("t", tx.unescaped(rows["t"]).alias("u"), "a", tx.each_unescaped(rows["a"]).alias("b")).collect():
         assert row.u == html.unescape(row.t)
         assert row.b == [None if text is None else html.unescape(text) for text in row.a]
+
+
+def test_characters_of_a_class_are_counted_one_by_one(one):
+    for text in ("", None, "AAA", "1A2", "é", "\U0001f600Z9\n9", "ÀÉß", "٣3", "\r\nA\u2028B"):
+        assert one(tx.capital_count, text) == sum("A" <= c <= "Z" for c in text or "")
+        assert one(tx.digit_count, text) == sum("0" <= c <= "9" for c in text or "")
