@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections import ChainMap
 
 import numpy as np
 import public_tokenizers
@@ -23,6 +22,11 @@ KEPT_LENGTH = 48
 # Four control characters that str.split takes for white space and the tokenizer does not.
 _CONTROLS = re.compile("[\x1c-\x1f]").search
 _ASCII_WORDS = re.compile("[^ \t\n\r\x0b\x0c]+").findall
+# What the tokenizer splits a text of letters up to U+00FF into before it merges, but for numbers, which go with each other.
+_PLAIN_PIECES = re.compile(
+    "'s|'t|'re|'ve|'m|'ll|'d|[a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+|[0-9\xb2\xb3\xb9\xbc-\xbe]+"
+    "|[^\\s0-9a-z\xaa\xb2\xb3\xb5\xb9\xba\xbc-\xbe\xc0-\xd6\xd8-\xf6\xf8-\xff]+"
+).findall
 # A stop or comma beside another sign, with which it may form one piece.
 _SIGNS_TOGETHER = re.compile(r"[.,](?:(?=[^\w\s]|_)|(?<=[^\w\s][.,])|(?<=_[.,]))").search
 
@@ -34,55 +38,57 @@ def _byte_letters() -> dict[int, int]:
     return {byte: byte for byte in seen} | {byte: 0x100 + i for i, byte in enumerate(hidden)}
 
 
+class _Kept(dict):
+    """Ids of words as bytes; a word that is not there yet is encoded when it is asked for."""
+
+    def __init__(self, tokenizer: Tokenizer):
+        self.tokenizer, self.merged, self.letters = tokenizer, tokenizer.model.tokenize, _byte_letters()
+        # Words too long to stay after their text.
+        self.long: list[str] = []
+
+    def __missing__(self, word: str) -> bytes:
+        if word.isalpha() and (word.isascii() or max(word) <= "\xff"):
+            # Letters in normal form are one piece in lower case: they need the merges alone.
+            shown = word.lower()
+            if not shown.isascii():
+                shown = shown.encode().decode("latin-1").translate(self.letters)
+            found = [token.id for token in self.merged(shown)]
+        else:
+            found = self.tokenizer.encode(word, add_special_tokens=False).ids
+        ids = self[word] = array("I", found).tobytes()
+        if len(word) > KEPT_LENGTH:
+            self.long.append(word)
+        return ids
+
+
 class WordEncoder:
     """Encoder for a byte-level vocabulary file of the ``tokenizers`` library that lowers case and drops white space."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
-        self.letters = _byte_letters()
-        self.kept: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [array("I", encoding.ids).tobytes() for encoding in found]
-
-    def _learn(self, words: list[str], plain: bool) -> None:
-        """Keep the ids of words.  Plain words of letters only are one piece: they need the merges alone."""
-        kept, others = self.kept, words
-        if plain:
-            others, letters, merged = [], self.letters, self.model.tokenize
-            for word in words:
-                if word.isalpha():
-                    shown = word if word.isascii() else word.encode().decode("latin-1").translate(letters)
-                    kept[word] = array("I", [token.id for token in merged(shown)]).tobytes()
-                else:
-                    others.append(word)
-        kept.update(zip(others, self._encode(others)))
-
-    def _words(self, text: str) -> tuple[list[str], bool]:
-        """Stretches of a text whose ids in a row are its ids, and whether they are plain.
+        self.kept = _Kept(self.tokenizer)
+
+    def _words(self, text: str) -> list[str]:
+        """Stretches of a text whose ids in a row are its ids.
 
         In a plain text letters go up to U+00FF, so each has one lower case and is in normal
-        form, and stops and commas are pieces of their own: then there are
-        fewer different words.
+        form; then words are the pieces that the tokenizer makes, or join a few of them, and there are
+        fewer different ones.
         """
         if _CONTROLS(text):
-            return _ASCII_WORDS(text), False
-        if len(text.encode("latin-1", "ignore")) < len(text) or "<|" in text or _SIGNS_TOGETHER(text):
-            return text.split(), False
-        return text.lower().replace(",", " , ").replace(".", " . ").split(), True
+            return _ASCII_WORDS(text)
+        if not text.isascii() and len(text.encode("latin-1", "ignore")) < len(text) or "<|" in text:
+            return text.split()
+        if _SIGNS_TOGETHER(text):
+            return _PLAIN_PIECES(text.lower())
+        return text.lower().replace(",", " , ").replace(".", " . ").split()
 
     def ids(self, text: str) -> np.ndarray:
         """Ids of a text as unsigned 32-bit numbers."""
-        words, plain = self._words(text)
-        kept, distinct = self.kept, set(words)
-        new = [word for word in distinct.difference(kept) if len(word) <= KEPT_LENGTH]
-        if new:
-            self._learn(new, plain)
-        long = [word for word in distinct if len(word) > KEPT_LENGTH]
-        ids_of = ChainMap(dict(zip(long, self._encode(long))), kept) if long else kept
-        ids = np.frombuffer(b"".join(map(ids_of.__getitem__, words)), np.uint32)
+        kept = self.kept
+        ids = np.frombuffer(b"".join(map(kept.__getitem__, self._words(text))), np.uint32)
+        while kept.long:
+            del kept[kept.long.pop()]
         while len(kept) > KEPT_WORDS:
             kept.popitem()
         return ids

@@ -28,6 +28,29 @@ def test_ids_are_the_tokenizers(text):
     assert ENCODER.ids(text).tolist() == expected
 
 
+@settings(max_examples=800, deadline=None)
+@given(st.text("abÉß'sretmldvª0²½.,#%&_- \n\xa0\x85\xad\xb5", max_size=30).map(lambda text: text + ".#"))
+def test_ids_beside_signs_are_the_tokenizers(text):
+    expected = ENCODER.tokenizer.encode(text, add_special_tokens=False).ids
+    assert ENCODER.ids(text).tolist() == expected
+
+
+def test_letters_are_merged_once_whatever_signs_follow():
+    """Stretches of letters and signs are as many as their pairs; letters and signs apart are few."""
+    encoder = WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    words, signs = ["alpha", "Beta", "gámma"], [".###", ",$$$", ".&&&", "%%%", ""]
+    text = " ".join(word + sign for word in words for sign in signs)
+    assert encoder.ids(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert set(encoder.kept) == {"alpha", "beta", "gámma", *signs[:-1]}
+
+
+def test_long_words_go_with_their_text():
+    encoder = WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    for text in ("ab " + "x" * 60 + " " + "x" * 60, "Ā" * 60 + " ab <|"):
+        assert encoder.ids(text).tolist() == encoder.tokenizer.encode(text, add_special_tokens=False).ids
+    assert max(map(len, encoder.kept)) < 48 and not encoder.kept.long
+
+
 def test_ids_stay_right_when_words_are_forgotten(monkeypatch):
     import grantlens.llm.tokens as tokens
 
