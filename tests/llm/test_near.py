@@ -175,3 +175,16 @@ def test_split_leaves_agree_with_brute_force(spark, monkeypatch):
     rows = corpus(3)
     found = near.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute(rows)
+
+
+def test_sets_too_many_to_send(spark, monkeypatch):
+    """Beyond what is broadcast, digests meet their components by a salted join."""
+    monkeypatch.setattr(near.lookup_join, "__defaults__", ("inner", 0, None))
+    monkeypatch.setattr(near, "fits_broadcast", lambda df: False)
+    rows = [*corpus(4), (None, "a text without an id"), (10_000, None), (10_001, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near.near_duplicates(docs)
+    assert "_salt" in found._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found.collect()}
+    assert got.pop(None) == (1, None, True)
+    assert got == brute(rows)

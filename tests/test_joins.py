@@ -28,6 +28,20 @@ def test_salted_join_equals_plain_join(spark, hot_rows, how):
     assert bag(salted) == bag(plain)
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_on_binary_keys(spark, hot_rows, how):
+    """The frequency sketch refuses binary values."""
+    rows = hot_rows.withColumn("k", F.unhex(F.md5("k")))
+    lookup = spark.range(200).selectExpr(
+        "unhex(md5(CASE WHEN id = 0 THEN 'hot' ELSE concat('k', id) END)) AS k", "id * 2 AS w"
+    )
+    hot = joins.hot_keys(rows, "k")
+    assert hot.schema["k"].dataType == rows.schema["k"].dataType
+    assert bag(hot.where("k = unhex(md5('hot'))")) == bag(spark.sql("SELECT unhex(md5('hot')) AS k"))
+    plain = rows.join(lookup, "k", how)
+    assert bag(joins.salted_join(rows, lookup, "k", how).select(plain.columns)) == bag(plain)
+
+
 def test_only_frequent_keys_are_hot(hot_rows):
     hot = {row.k for row in joins.hot_keys(hot_rows, "k").collect()}
     assert "hot" in hot
